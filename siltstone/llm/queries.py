@@ -6,15 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import language_id
+from siltstone.llm import bpe, language_id, quality_classifier, secret_scan
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer files are installed; the path is a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quadratic_quality_classifier": lambda s, d: quality_classifier.op1(_docs(s, d), _labels(s, d)),
     "op4_hyperdimensional_language_id": lambda s, d: language_id.op4(_docs(s, d)),
+    "op5_crf_secret_scan": lambda s, d: secret_scan.op5(_docs(s, d)),
+    "op7_chunked_bpe": lambda s, d: bpe.op7(_docs(s, d), tokenizer_path()),
 }
 
 ORACLE_SQL: dict[str, str] = {}
