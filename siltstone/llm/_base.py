@@ -162,3 +162,18 @@ def sum_by(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[offsets[1:]] - sums[offsets[:-1]]
+
+
+def sized(small: DataFrame, most: int) -> DataFrame:
+    """`small`, marked for broadcast only if it was counted to have at most `most` rows; else joins shuffle."""
+    return F.broadcast(small) if small.limit(most + 1).count() <= most else small
+
+
+#: The contract's white space, for SQL: space and \\x09-\\x0D.
+BLANKS = " \t\n\x0b\f\r"
+
+
+def words_of(text: Column) -> Column:
+    """The words of a text as an array; empty for null or blank text."""
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, language_id, quality_classifier, secret_scan
+from siltstone.llm import bpe, language_id, quality_classifier, quality_rules, secret_scan
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hyperdimensional_language_id": lambda s, d: language_id.op4(_docs(s, d)),
     "op5_crf_secret_scan": lambda s, d: secret_scan.op5(_docs(s, d)),
     "op7_chunked_bpe": lambda s, d: bpe.op7(_docs(s, d), tokenizer_path()),
+    "op8_ngram_ratio_rules": lambda s, d: quality_rules.op8(_docs(s, d), _labels(s, d)),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_ngram_ratio_rules": quality_rules.ORACLE,
+}
