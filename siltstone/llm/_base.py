@@ -177,3 +177,9 @@ def words_of(text: Column) -> Column:
     """The words of a text as an array; empty for null or blank text."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
+
+
+def pinned(value: Column) -> Column:
+    """`value`, made once for each row: the optimizer moves a column's making into the lambda that reads it,
+    where it would run for every element, unless it is marked as not deterministic, as here."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)

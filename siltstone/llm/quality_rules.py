@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siltstone.llm._base import BLANKS, settle, sized, words_of
+from siltstone.llm._base import BLANKS, pinned, settle, sized, words_of
 
 BITS = 18
 #: Pseudo-count of the corpus in every bucket.
@@ -30,15 +30,15 @@ LEAST = -250_000
 SYMBOLS = "#*$%&|<>"
 
 
-def bucket(gram: Column) -> Column:
-    """The n-gram's bucket: the first BITS bits of its MD5."""
-    return F.shiftright(F.conv(F.substring(F.md5(gram), 1, 5), 16, 10).cast("int"), 20 - BITS)
+def bucket(*gram: Column) -> Column:
+    """The n-gram's bucket: the first BITS bits of its 64-bit xxHash."""
+    return F.shiftrightunsigned(F.xxhash64(*gram), 64 - BITS).cast("int")
 
 
 def grams(words: Column) -> Column:
-    """Buckets of all unigrams and bigrams."""
-    pairs = F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: bucket(F.concat(words[i], F.lit(" "), w)))
-    return F.concat(F.transform(words, bucket), pairs)
+    """Buckets of all unigrams and bigrams. `words` must be a column: a lambda would make any other expression anew."""
+    pairs = F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: bucket(words[i], w))
+    return F.concat(F.transform(words, lambda w: bucket(w)), pairs)
 
 
 def _twins(ranked: Column) -> Column:
@@ -51,14 +51,13 @@ def measured(docs: DataFrame) -> DataFrame:
     """`docs` with `words` and the base counts; a narrow stage."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    out = docs.withColumn("words", words_of(F.col("text")))
-    out = out.withColumn("_hashes", F.transform("words", lambda w: F.xxhash64(w))).withColumn("_lines", lines)
+    out = docs.withColumn("words", pinned(words_of(F.col("text"))))
+    out = out.withColumn("_hashes", pinned(F.transform("words", lambda w: F.xxhash64(w)))).withColumn("_lines", pinned(lines))
     three = F.slice("_hashes", F.lit(1), F.greatest(F.size("_hashes") - 2, F.lit(0)))
-    out = out.withColumn("_windows", F.transform(three, lambda h, i: F.xxhash64(h, F.col("_hashes")[i + 1], F.col("_hashes")[i + 2])))
+    out = out.withColumn("_windows", pinned(F.transform(three, lambda h, i: F.xxhash64(h, F.col("_hashes")[i + 1], F.col("_hashes")[i + 2]))))
     again = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    # each array that a lambda looks into is a column of its own: inside a lambda it would be made anew for every element
     pairs = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    out = out.withColumn("_ranked", F.when(again, F.sort_array(pairs)).otherwise(F.slice(pairs, 1, 0)))
+    out = out.withColumn("_ranked", pinned(F.when(again, F.sort_array(pairs)).otherwise(F.slice(pairs, 1, 0))))
     twins = F.filter(_twins(F.col("_ranked")), lambda x: x.twice)
     repeats = F.size(F.array_distinct(F.flatten(F.transform(twins, lambda x: F.array(x.i, x.i + 1, x.i + 2)))))
     counts = {
@@ -75,7 +74,7 @@ def measured(docs: DataFrame) -> DataFrame:
 def weights(docs: DataFrame, labels: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
     """(b, w): the weight of every bucket that occurs, in millionths."""
     trusted = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id", F.lit(1).alias("good"))
-    rows = docs.select("doc_id", "text").join(sized(trusted, most_broadcast), "doc_id", "left").select(F.coalesce("good", F.lit(0)).alias("good"), words_of(F.col("text")).alias("words"))
+    rows = docs.select("doc_id", "text").join(sized(trusted, most_broadcast), "doc_id", "left").select(F.coalesce("good", F.lit(0)).alias("good"), pinned(words_of(F.col("text"))).alias("words"))
     counts = settle(rows.select("good", F.explode(grams(F.col("words"))).alias("b")).groupBy("b").agg(F.sum("good").alias("t"), F.count("*").alias("r")), "ngram-counts")
     t, r = counts.agg(F.sum("t"), F.sum("r")).first()
     if not t:
@@ -108,27 +107,3 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op8(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The query's digest."""
     return judge(docs, labels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-
-
-ORACLE = rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
-tok AS (SELECT rid, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM w),
-win AS (SELECT rid, i, concat(w, ' ', lead(w, 1) OVER o, ' ', lead(w, 2) OVER o) AS g, lead(w, 2) OVER o AS last FROM tok WINDOW o AS (PARTITION BY rid ORDER BY i)),
-again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM win WHERE last IS NOT NULL) WHERE n > 1),
-covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) v(k) GROUP BY rid),
-gram AS (SELECT rid, w AS g FROM tok UNION ALL SELECT rid, g FROM (SELECT rid, concat(w, ' ', lead(w) OVER o) AS g, lead(w) OVER o AS nxt FROM tok WINDOW o AS (PARTITION BY rid ORDER BY i)) WHERE nxt IS NOT NULL),
-b AS (SELECT rid, ('0x' || substr(md5(g), 1, 5))::INT >> {20 - BITS} AS b FROM gram),
-good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-cnt AS (SELECT b, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM good)) AS t, count(*) AS r FROM b JOIN d USING (rid) GROUP BY b),
-tot AS (SELECT sum(t) / sum(r)::DOUBLE AS share FROM cnt),
-wt AS (SELECT b, CASE WHEN share > 0 THEN round(1000000 * ln((t + {SMOOTH} * share) / (r + {SMOOTH}) / share))::BIGINT ELSE 0 END AS w FROM cnt, tot),
-llr AS (SELECT rid, sum(w) AS s, count(*) AS n FROM b JOIN wt USING (b) GROUP BY rid),
-lines AS (SELECT rid, l, row_number() OVER (PARTITION BY rid, l) AS k FROM (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
-dup AS (SELECT rid, count(*) FILTER (WHERE k > 1) AS n FROM lines GROUP BY rid),
-m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
-  (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(llr.s, 0) AS s, coalesce(llr.n, 1) AS n
-  FROM w LEFT JOIN dup USING (rid) LEFT JOIN covered USING (rid) LEFT JOIN llr USING (rid))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-  (NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND s >= {LEAST} * n) AS kept FROM m
-"""
