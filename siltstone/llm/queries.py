@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, secret_scan
+from siltstone.llm import bpe, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, secret_scan
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,11 +28,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quadratic_quality_classifier": lambda s, d: quality_classifier.op1(_docs(s, d), _labels(s, d)),
     "op4_hyperdimensional_language_id": lambda s, d: language_id.op4(_docs(s, d)),
     "op5_crf_secret_scan": lambda s, d: secret_scan.op5(_docs(s, d)),
+    "op6_pigeonhole_jaccard_join": lambda s, d: ngram_join.op6(_docs(s, d)),
     "op7_chunked_bpe": lambda s, d: bpe.op7(_docs(s, d), tokenizer_path()),
     "op8_ngram_ratio_rules": lambda s, d: quality_rules.op8(_docs(s, d), _labels(s, d)),
     "op9_template_decontamination": lambda s, d: decontaminate.op9(_docs(s, d), s.read.parquet(f"{d}/benchmark.parquet")),
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_pigeonhole_jaccard_join": ngram_join.ORACLE,
     "op9_template_decontamination": decontaminate.ORACLE,
 }
