@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, secret_scan
+from siltstone.llm import bpe, context_mixing, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, secret_scan
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chunked_bpe": lambda s, d: bpe.op7(_docs(s, d), tokenizer_path()),
     "op8_ngram_ratio_rules": lambda s, d: quality_rules.op8(_docs(s, d), _labels(s, d)),
     "op9_template_decontamination": lambda s, d: decontaminate.op9(_docs(s, d), s.read.parquet(f"{d}/benchmark.parquet")),
+    "op10_context_mixing_lm": lambda s, d: context_mixing.op10(_docs(s, d)),
 }
 
 ORACLE_SQL: dict[str, str] = {
