@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, context_mixing, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, secret_scan, url_filter
+from siltstone.llm import bpe, context_mixing, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quadratic_quality_classifier": lambda s, d: quality_classifier.op1(_docs(s, d), _labels(s, d)),
     "op2_temporal_url_filter": lambda s, d: url_filter.op2(s.read.parquet(f"{d}/pages.parquet")),
+    "op3_fm_index_substring_dedup": lambda s, d: substring_dedup.op3(_docs(s, d)),
     "op4_hyperdimensional_language_id": lambda s, d: language_id.op4(_docs(s, d)),
     "op5_crf_secret_scan": lambda s, d: secret_scan.op5(_docs(s, d)),
     "op6_pigeonhole_jaccard_join": lambda s, d: ngram_join.op6(_docs(s, d)),
@@ -38,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_temporal_url_filter": url_filter.ORACLE,
+    "op3_fm_index_substring_dedup": substring_dedup.ORACLE,
     "op6_pigeonhole_jaccard_join": ngram_join.ORACLE,
     "op9_template_decontamination": decontaminate.ORACLE,
 }
