@@ -1,10 +1,497 @@
-"""The registered queries over the reference's operators and their SQL."""
+"""The registered queries over the library's operators, whole tables each, and their SQL for DuckDB."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from siltstone.functions import text as T
+from siltstone.operators import clean, dedup, meta, schedule
+from siltstone.operators.news_rules import CATEGORIES
+from siltstone.session import table
+from siltstone.sources import delivery
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+LATIN = clean.LATIN
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def docs(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "documents")
+
+
+def pages(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "pages")
+
+
+# --- metadata ---------------------------------------------------------------------------------------------
+_TITLE = "regexp_replace(regexp_extract(text, '^[^\\n]*'), '^\\s+|\\s+$', '', 'g')"
+
+
+@query("meta_normalize", f"SELECT doc_id, {_TITLE} AS title, substr(text, 1, 500) AS summary, '綜合' AS feed_category, substr(sha256(regexp_replace({_TITLE}, '\\s+', '', 'g')), 1, 16) AS title_hash FROM documents")
+def _(s, d):
+    rows = docs(s, d).select("doc_id", "source", F.substring_index("text", "\n", 1).alias("title"), F.concat(F.lit("http://x/"), F.col("doc_id")).alias("url"), F.lit(None).cast("timestamp").alias("published_at"), F.col("text").alias("summary"), F.lit(None).cast("string").alias("feed_category"))
+    return meta.article_meta(rows).select(F.substring("url", 10, 30).cast("long").alias("doc_id"), "title", "summary", "feed_category", "title_hash")
+
+
+@query("title_hash", f"SELECT doc_id, substr(sha256(regexp_replace({_TITLE}, '\\s+', '', 'g')), 1, 16) AS title_hash FROM documents")
+def _(s, d):
+    return docs(s, d).select("doc_id", T.title_hash(F.substring_index("text", "\n", 1)).alias("title_hash"))
+
+
+_HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
+
+
+@query("url_canonical", "SELECT page_id, split_part(url, '?utm_', 1) AS url FROM pages")
+def _(s, d):
+    return pages(s, d).select("page_id", T.canonical_url(F.col("url")).alias("url"))
+
+
+@query("url_domain", f"SELECT page_id, {_HOST} AS domain FROM pages")
+def _(s, d):
+    return pages(s, d).select("page_id", T.domain_key(F.col("url")).alias("domain"))
+
+
+@query("union_sources_keep_first", """SELECT url, source_order, pos FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY source_order, pos) AS k FROM (
+  SELECT url, 0 AS source_order, page_id AS pos FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT split_part(url, '?', 1), 1, page_id FROM pages UNION ALL SELECT split_part(url, '#', 1), 2, page_id FROM pages)) WHERE k = 1""")
+def _(s, d):
+    p = pages(s, d).select("url", F.col("page_id").alias("pos"))
+    out = meta.union_sources([p.where("pos % 2 = 0"), p.withColumn("url", F.substring_index("url", "?", 1)), p.withColumn("url", F.substring_index("url", "#", 1))])
+    return out.select("url", "source_order", "pos")
+
+
+@query("freshness_window", "SELECT event_id, 0 AS fresh_order FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 6 HOURS")
+def _(s, d):
+    e = table(s, d, "events")
+    return meta.fresh(e, F.lit(e.agg(F.max("ts")).first()[0]), 6, "ts").select("event_id", "fresh_order")
+
+
+@query("title_dedup_keep_first", f"SELECT doc_id, h AS title_hash FROM (SELECT doc_id, h, row_number() OVER (PARTITION BY h ORDER BY doc_id) AS k FROM (SELECT doc_id, substr(sha256(regexp_replace({_TITLE}, '\\s+', '', 'g')), 1, 16) AS h FROM documents)) WHERE k = 1 OR h = ''")
+def _(s, d):
+    rows = docs(s, d).select("doc_id", T.title_hash(F.substring_index("text", "\n", 1)).alias("title_hash"))
+    return dedup.keep_first(rows, ["title_hash"], ["doc_id"], pass_blank=True)
+
+
+_ROBIN = f"SELECT page_id, {_HOST} AS domain, row_number() OVER (PARTITION BY {_HOST} ORDER BY page_id) AS turn, min(page_id) OVER (PARTITION BY {_HOST}) AS queue FROM pages"
+
+
+def _robin(s, d):
+    return schedule.round_robin(pages(s, d).select("page_id", T.domain_key(F.col("url")).alias("domain")), pos="page_id")
+
+
+@query("round_robin", _ROBIN)
+def _(s, d):
+    return _robin(s, d)
+
+
+@query("round_robin_limit", f"SELECT page_id, domain, turn, queue FROM ({_ROBIN}) ORDER BY turn, queue LIMIT 100")
+def _(s, d):
+    return meta.first_n(_robin(s, d), ["turn", "queue"], 100)
+
+
+@query("source_counts", "SELECT source, count(*) AS n FROM documents GROUP BY source")
+def _(s, d):
+    return docs(s, d).groupBy("source").agg(F.count("*").alias("n"))
+
+
+_DATES = [("Fri, 06 Mar 2026 08:30:00 +0800", "2026-03-06 00:30:00"), ("Fri, 06 Mar 2026 08:30:00 GMT", "2026-03-06 08:30:00"), ("2026-03-06T08:30:00+08:00", "2026-03-06 00:30:00"), ("2026-03-06T08:30:00Z", "2026-03-06 08:30:00"), ("2026-03-06T08:30:00.250+00:00", "2026-03-06 08:30:00"), ("2026-03-06 08:30:00", "2026-03-06 00:30:00"), ("2026-03-06 08:30", "2026-03-06 00:30:00"), ("2026/03/06 08:30:00", "2026-03-06 00:30:00"), ("2026/3/6 08:30", "2026-03-06 00:30:00"), ("2026-03-06", "2026-03-05 16:00:00"), ("2026-3-8", "2026-03-07 16:00:00"), ("soon", None), ("", None)]
+_DATE_VALUES = ", ".join(f"('{a}', {repr(b) if b else 'NULL'})" for a, b in _DATES)
+
+
+@query("date_parse_multi", f"SELECT raw, instant FROM (VALUES {_DATE_VALUES}) v(raw, instant)")
+def _(s, d):
+    rows = s.createDataFrame([(a,) for a, _ in _DATES], "raw string")
+    return rows.select("raw", F.date_format(T.parse_time(F.col("raw")), "yyyy-MM-dd HH:mm:ss").alias("instant"))
+
+
+@query("sitemap_noon_bump", "SELECT * FROM (VALUES ('2026-03-06', '2026-03-06 04:00:00'), ('2026-03-06 00:00', '2026-03-05 16:00:00'), ('2026-03-06 09:15', '2026-03-06 01:15:00')) v(raw, instant)")
+def _(s, d):
+    rows = s.createDataFrame([("2026-03-06",), ("2026-03-06 00:00",), ("2026-03-06 09:15",)], "raw string")
+    return rows.select("raw", F.date_format(T.noon_bump(T.parse_time(F.col("raw")), F.col("raw")), "yyyy-MM-dd HH:mm:ss").alias("instant"))
+
+
+# --- cleaning ---------------------------------------------------------------------------------------------
+def _strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _html_sql(x: str) -> str:
+    for p in ("(?is)<!DOCTYPE[^>]*>", "(?is)<script[^>]*>.*?</script>", "(?is)<style[^>]*>.*?</style>", "(?s)<[^>]+>"):
+        x = f"regexp_replace({x}, '{p}', '', 'g')"
+    return x
+
+
+@query("html_strip", f"SELECT page_id, sha256({_html_sql('html')}) AS text_sha, length({_html_sql('html')}) AS n FROM pages")
+def _(s, d):
+    out = T.strip_html(F.col("html"))
+    return pages(s, d).select("page_id", F.sha2(out, 256).alias("text_sha"), F.length(out).cast("long").alias("n"))
+
+
+@query("summary_clean", f"SELECT page_id, substr({_strip_sql(chr(39).join(['regexp_replace(html, ', '<[^>]+>', ', ', '', ', ', 'g', ')']))}, 1, 500) AS summary FROM pages")
+def _(s, d):
+    return pages(s, d).select("page_id", F.substring(T.clean_html(F.col("html")), 1, 500).alias("summary"))
+
+
+_FRONT = [(1, "---\ntitle: A b\nauthor: 'C'\nlang: x\n---\nBody  "), (2, "no front"), (3, "---\ntitle: open"), (4, "---\ntitle: a---b\n---\nrest"), (5, "---\nTitle: one\ntitle: two\ndate: 2026:01\n---\n\nB"), (6, '---\nimage: ""\ndescription: "q"\n---')]
+_FRONT_OUT = [(1, "A b", "C", None, None, None, "Body"), (2, None, None, None, None, None, "no front"), (3, None, None, None, None, None, "---\ntitle: open"), (4, "a", None, None, None, None, "b\n---\nrest"), (5, "two", None, "2026:01", None, None, "B"), (6, None, None, None, None, "q", "")]
+_lit = lambda x: "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+
+
+@query("frontmatter_fields", "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_lit, r)) + ")" for r in _FRONT_OUT) + ") v(id, title, author, date, image, description, body)")
+def _(s, d):
+    out = clean.front_matter(s.createDataFrame(_FRONT, "id int, text string"))
+    return out.select("id", *(F.col("front")[k].alias(k) for k in ("title", "author", "date", "image", "description")), "body")
+
+
+@query("frontmatter_documents", "SELECT doc_id, text = text AND NOT starts_with(text, '---') AS untouched FROM documents")
+def _(s, d):
+    return clean.front_matter(docs(s, d)).select("doc_id", ((F.col("body") == F.col("text")) & (F.size("front") == 0)).alias("untouched"))
+
+
+_FULL_SQL = "(starts_with(ltrim(substr({x}, 1, 600)), '<!DOCTYPE') OR starts_with(ltrim(substr({x}, 1, 600)), '<html') OR len(list_filter(list_filter(string_split({x}, chr(10)), lambda l: regexp_matches(l, '\\S'))[1:20], lambda l: regexp_matches(l, '\\[.*?\\]\\(.*?\\)'))) >= 5)"
+
+
+@query("full_page_flag", f"SELECT 'p' AS kind, page_id AS id, {_FULL_SQL.format(x='html')} AS full_page FROM pages UNION ALL SELECT 'd', doc_id, {_FULL_SQL.format(x='text')} FROM documents")
+def _(s, d):
+    one = lambda df, k, i, x: df.select(F.lit(k).alias("kind"), F.col(i).alias("id"), clean.is_full_page(F.col(x)).alias("full_page"))
+    return one(pages(s, d), "p", "page_id", "html").union(one(docs(s, d), "d", "doc_id", "text"))
+
+
+# documents as markdown pages: a doctype line, a heading of the first line, then the lines
+_PAGE_SQL = "('<!DOCTYPE html>' || chr(10) || '# ' || text)"
+
+
+def _as_pages(s, d):
+    return docs(s, d).select("doc_id", F.concat(F.lit("<!DOCTYPE html>\n# "), "text").alias("text"))
+
+
+_H1_SQL = "coalesce(list_position(list_transform(string_split({x}, chr(10)), lambda l: starts_with(trim(l), '# ') AND len(regexp_extract_all(l, '[A-Za-z]')) >= 3), true), 0)"
+
+
+@query("h1_title", f"SELECT doc_id, {_H1_SQL.format(x=_PAGE_SQL)}::INT AS h1_at FROM documents")
+def _(s, d):
+    return _as_pages(s, d).select("doc_id", clean.heading_at(F.split("text", "\n"), LATIN).alias("h1_at"))
+
+
+_END = clean.RuleSet(noise=[], strong=["the.", "der."], weak=["of", "und"], late=["tion."], script="[A-Za-z]", script_name="Latin")
+_END_SQL = "(contains(l, 'the.') OR contains(l, 'der.') OR ((contains(l, 'of') OR contains(l, 'und')) AND length(trim(l)) < 80))"
+
+
+@query("body_end_index", f"SELECT doc_id, coalesce(list_position(list_transform(string_split(text, chr(10)), lambda l: {_END_SQL}), true), 0)::INT AS end_at FROM documents")
+def _(s, d):
+    return docs(s, d).select("doc_id", clean.end_at(F.split("text", "\n"), _END).alias("end_at"))
+
+
+@query("body_text", f"""WITH x AS (SELECT doc_id, string_split({_PAGE_SQL}, chr(10)) AS ls, {_H1_SQL.format(x=_PAGE_SQL)} AS h FROM documents),
+y AS (SELECT doc_id, h, ls, ls[h + 1:] AS rest FROM x), z AS (SELECT *, coalesce(list_position(list_transform(rest, lambda l: {_END_SQL}), true), 0) AS e FROM y)
+SELECT doc_id, sha256(CASE WHEN h = 0 THEN {_strip_sql("''")} ELSE {_strip_sql("array_to_string(CASE WHEN e > 0 THEN rest[1:e - 1] ELSE rest END, chr(10))")} END) AS body_sha, CASE WHEN h > 0 THEN trim(substr(trim(ls[h]), 3)) END AS h1_title FROM z WHERE h > 0""")
+def _(s, d):
+    out = clean.article_body(_as_pages(s, d), rules=_END).where("h1_title is not null")
+    return out.select("doc_id", F.sha2("body", 256).alias("body_sha"), "h1_title")
+
+
+def _lines(s, d):
+    return docs(s, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("s", T.strip(F.col("line")))
+
+
+_NOISE_SQL = r"regexp_matches(s, '^\[\s*\]\(.*?\)\s*$|javascript:\s*void|All [Rr]ights [Rr]eserved')"
+_LINKS_SQL = r"len(regexp_extract_all(s, '\[.*?\]\(.*?\)'))"
+_LEFT_SQL = r"regexp_replace(s, '\[.*?\]\(.*?\)', '', 'g')"
+_RULES_SQL = {
+    "line_noise": _NOISE_SQL,
+    "link_heavy": f"({_LINKS_SQL} >= 3 AND length(trim({_LEFT_SQL})) < 20)",
+    "bracket_tag": f"(contains(s, '](') AND len(regexp_extract_all({_LEFT_SQL}, '[A-Za-z]')) < 10)",
+    "short_line": "(length(s) BETWEEN 1 AND 3 AND NOT regexp_matches(s, '[.,;:!?。，；：！？、]'))",
+    "template_line": r"(regexp_matches(s, '\{\{.*?\}\}') AND length(s) < 120)",
+}
+_LINES_SQL = f"SELECT doc_id, i - 1 AS i, {_strip_sql('l')} AS s FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)"
+_RULES = {"line_noise": lambda x: clean.is_noise(x, LATIN), "link_heavy": clean.is_link_heavy, "bracket_tag": lambda x: clean.is_tag_line(x, LATIN), "short_line": clean.is_short, "template_line": clean.is_template}
+for _name, _rule in _RULES.items():
+    query(_name, f"SELECT doc_id, i, {_RULES_SQL[_name]} AS hit FROM ({_LINES_SQL})")(lambda s, d, rule=_rule: _lines(s, d).select("doc_id", F.col("i").cast("long").alias("i"), rule(F.col("s")).alias("hit")))
+
+# the cleaner's rules on fixture texts: drop by rule, cut at a late marker, join, paragraphs, strip
+_DROP_SQL = " OR ".join(_RULES_SQL.values()).replace("(s,", "(trim(l),").replace("(s)", "(trim(l))")
+_CLEAN = clean.RuleSet(noise=LATIN.noise, strong=LATIN.strong, weak=LATIN.weak, late=["ingst.", "eber.", "ement."], script="[A-Za-z]", script_name="Latin")
+
+
+def _clean_sql(late: str) -> str:
+    return f"""WITH k AS (SELECT doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: NOT ({_DROP_SQL})) AS ls FROM documents),
+c AS (SELECT doc_id, ls, coalesce(list_position(list_transform(ls, lambda l: {late}), true), 0) AS e FROM k),
+t AS (SELECT doc_id, regexp_replace(array_to_string(CASE WHEN e > 0 THEN ls[1:e - 1] ELSE ls END, chr(10)), '^(\\s*\\n)+|(\\n\\s*)+$', '', 'g') AS t FROM c),
+p AS (SELECT doc_id, regexp_replace(CASE WHEN NOT contains(t, chr(10) || chr(10)) THEN replace(t, chr(10), chr(10) || chr(10)) ELSE t END, '\\n{{3,}}', chr(10) || chr(10), 'g') AS t FROM t),
+content AS (SELECT doc_id, {_strip_sql("substr(" + _html_sql("t") + ", 1, 50000)")} AS content FROM p)"""
+
+
+_LATE_SQL = "contains(l, 'ingst.') OR contains(l, 'eber.') OR contains(l, 'ement.')"
+_CLEANED = _clean_sql(_LATE_SQL)
+_REASON_SQL = """CASE WHEN content = '' THEN 'Empty content' WHEN length(content) < 100 THEN 'Too short (' || length(content) || ' < 100 chars)'
+  WHEN len(regexp_extract_all(content, '[A-Za-z]')) < 20 THEN 'Insufficient Latin (' || len(regexp_extract_all(content, '[A-Za-z]')) || ' chars)'
+  WHEN len(list_filter(string_split(content, chr(10) || chr(10)), lambda p: regexp_matches(p, '\\S'))) < 2 THEN 'Too few paragraphs (' || len(list_filter(string_split(content, chr(10) || chr(10)), lambda p: regexp_matches(p, '\\S'))) || ' < 2)' ELSE 'OK' END"""
+
+
+def _cleaned(s, d):
+    return clean.clean_content(docs(s, d), rules=_CLEAN)
+
+
+@query("clean_content", _CLEANED + " SELECT doc_id, sha256(content) AS content_hash, length(content) AS char_count FROM content")
+def _(s, d):
+    return _cleaned(s, d).select("doc_id", F.sha2("content", 256).alias("content_hash"), F.length("content").cast("long").alias("char_count"))
+
+
+@query("late_truncate", f"SELECT doc_id, CASE WHEN e > 0 THEN e - 1 ELSE n END AS n_lines FROM (SELECT doc_id, len(string_split(text, chr(10))) AS n, coalesce(list_position(list_transform(string_split(text, chr(10)), lambda l: {_LATE_SQL}), true), 0) AS e FROM documents)")
+def _(s, d):
+    return docs(s, d).select("doc_id", F.size(clean.late_cut(F.split("text", "\n"), _CLEAN)).cast("long").alias("n_lines"))
+
+
+@query("paragraph_normalize", "SELECT doc_id, sha256(regexp_replace(CASE WHEN NOT contains(text, chr(10) || chr(10)) THEN replace(text, chr(10), chr(10) || chr(10)) ELSE text END, '\\n{3,}', chr(10) || chr(10), 'g')) AS sha FROM documents")
+def _(s, d):
+    return docs(s, d).select("doc_id", F.sha2(clean.paragraphs(F.col("text")), 256).alias("sha"))
+
+
+@query("quality_gate", _CLEANED + f" SELECT doc_id, {_REASON_SQL} AS reason FROM content")
+def _(s, d):
+    return _cleaned(s, d).select("doc_id", clean.quality_reason(F.col("content"), LATIN).alias("reason"))
+
+
+@query("quality_reason_counts", _CLEANED + f" SELECT split_part({_REASON_SQL}, ' (', 1) AS reason, count(*) AS n FROM content GROUP BY 1")
+def _(s, d):
+    return _cleaned(s, d).select(F.split_part(clean.quality_reason(F.col("content"), LATIN), F.lit(" ("), F.lit(1)).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("field_precedence", """SELECT doc_id, coalesce(nullif(regexp_extract(html, '<title>(.*?)</title>', 1), ''), nullif(regexp_extract(text, '^[^\\n]*'), ''), '') AS title,
+  substr(coalesce(nullif(substr(text, 1, 200), ''), ''), 1, 500) AS summary FROM documents LEFT JOIN pages ON page_id = doc_id""")
+def _(s, d):
+    both = docs(s, d).join(pages(s, d), F.col("page_id") == F.col("doc_id"), "left")
+    return both.select("doc_id", T.first_filled(F.regexp_extract("html", "<title>(.*?)</title>", 1), F.substring_index("text", "\n", 1)).alias("title"), F.substring(T.first_filled(F.substring("text", 1, 200)), 1, 500).alias("summary"))
+
+
+@query("content_hash", _CLEANED + " SELECT doc_id, sha256(content) AS content_hash FROM content")
+def _(s, d):
+    return _cleaned(s, d).select("doc_id", F.sha2("content", 256).alias("content_hash"))
+
+
+def _hashed(s, d):
+    return docs(s, d).select("doc_id", F.col("doc_id").alias("pos"), "lang", F.sha2("text", 256).alias("content_hash"), F.length("text").alias("char_count"))
+
+
+_GROUPS = "SELECT doc_id, lang, h AS content_hash, group_size FROM (SELECT doc_id, lang, sha256(text) AS h, count(*) OVER (PARTITION BY text) AS group_size, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k = 1"
+
+
+@query("exact_dedup", f"SELECT doc_id, content_hash FROM ({_GROUPS})")
+def _(s, d):
+    return dedup.exact_groups(_hashed(s, d)).select("doc_id", "content_hash")
+
+
+@query("exact_dup_groups", f"SELECT content_hash, group_size FROM ({_GROUPS}) WHERE group_size > 1")
+def _(s, d):
+    return dedup.exact_groups(_hashed(s, d)).where("group_size > 1").select("content_hash", "group_size")
+
+
+@query("flagship_curation", _CLEANED + f", ok AS (SELECT content, min(doc_id) AS doc_id FROM content WHERE {_REASON_SQL} = 'OK' GROUP BY content) SELECT lang, count(*) AS n, sum(length(content))::BIGINT AS chars FROM ok JOIN documents USING (doc_id) GROUP BY lang")
+def _(s, d):
+    good = _cleaned(s, d).where(clean.quality_reason(F.col("content"), LATIN) == "OK")
+    rows = good.select("doc_id", F.col("doc_id").alias("pos"), "lang", F.sha2("content", 256).alias("content_hash"), F.length("content").cast("long").alias("char_count"))
+    return dedup.exact_groups(rows).groupBy("lang").agg(F.count("*").alias("n"), F.sum("char_count").alias("chars"))
+
+
+# --- topics -----------------------------------------------------------------------------------------------
+_NAMES = "[" + ", ".join(f"'{c}'" for c in CATEGORIES) + "]"
+_TOPIC_SQL = f"""WITH e AS (SELECT vec_id, list_transform(embedding[1:11], lambda x: exp(x::DOUBLE - list_max(embedding[1:11])::DOUBLE)) AS p FROM embeddings),
+t AS (SELECT vec_id, p, list_position(p, list_max(p)) AS a, list_sum(p) AS z FROM e), o AS (SELECT vec_id, round(p[a] / z, 4) AS score, ({_NAMES})[a] AS label FROM t)"""
+
+
+def _topics(s, d):
+    return meta.topics(table(s, d, "embeddings").select("vec_id", F.slice("embedding", 1, 11).alias("logits")))
+
+
+@query("topic_argmax", _TOPIC_SQL + " SELECT vec_id, label IN ('政治', '國際', '兩岸', '社會') AS keep, CASE WHEN label IN ('政治', '國際', '兩岸', '社會') THEN label END AS topic FROM o")
+def _(s, d):
+    return _topics(s, d).select("vec_id", "keep", "topic")
+
+
+@query("topic_scores", _TOPIC_SQL + " SELECT vec_id, score FROM o")
+def _(s, d):
+    return _topics(s, d).select("vec_id", F.round("score", 4).alias("score"))
+
+
+@query("topic_filter_counts", _TOPIC_SQL + " SELECT label AS topic, count(*) AS n FROM o WHERE label IN ('政治', '國際', '兩岸', '社會') GROUP BY label")
+def _(s, d):
+    return meta.ranked_counts(_topics(s, d).where("keep"), "topic", "vec_id")
+
+
+@query("classifier_input", "SELECT doc_id, regexp_extract(text, '^[^\\n]*') || CASE WHEN text <> '' THEN ' ' || substr(text, 1, 200) ELSE '' END AS input FROM documents")
+def _(s, d):
+    return docs(s, d).select("doc_id", meta.classifier_input(F.substring_index("text", "\n", 1), F.col("text")).alias("input"))
+
+
+# --- similarity -------------------------------------------------------------------------------------------
+_PAIRS_SQL = """WITH RECURSIVE pairs AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {t}),
+both_ways AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), reach(id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, e.b FROM reach r JOIN both_ways e ON e.a = r.c),
+comp AS (SELECT id, min(c) AS component FROM reach GROUP BY id),
+best AS (SELECT vec_id AS id, coalesce(max(sim), 0.0) AS sim FROM embeddings LEFT JOIN (SELECT a AS id, sim FROM pairs UNION ALL SELECT b, sim FROM pairs) p ON p.id = vec_id GROUP BY vec_id)"""
+
+
+def _pairs(s, d, least):
+    return dedup.cosine_pairs(table(s, d, "embeddings"), "vec_id", "embedding", least)
+
+
+def _nodes(s, d):
+    return table(s, d, "embeddings").select(F.col("vec_id").alias("id"))
+
+
+@query("cosine_pairs", _PAIRS_SQL.format(t=0.4) + " SELECT a, b, round(sim, 4) AS sim FROM pairs")
+def _(s, d):
+    return _pairs(s, d, 0.4).withColumn("sim", F.round("sim", 4))
+
+
+@query("max_similarity", _PAIRS_SQL.format(t=0.35) + " SELECT id, round(sim, 4) AS max_sim FROM best")
+def _(s, d):
+    return dedup.max_similarity(_nodes(s, d), _pairs(s, d, 0.35)).withColumn("max_sim", F.round("max_sim", 4))
+
+
+@query("similarity_class", _PAIRS_SQL.format(t=0.35) + " SELECT id, CASE WHEN sim >= 0.95 THEN 'duplicate' WHEN sim >= 0.8 THEN 'rewrite' WHEN sim >= 0.5 THEN 'different_angle' ELSE 'original' END AS article_type FROM best")
+def _(s, d):
+    return dedup.max_similarity(_nodes(s, d), _pairs(s, d, 0.35)).select("id", dedup.similarity_class(F.col("max_sim")).alias("article_type"))
+
+
+@query("components", _PAIRS_SQL.format(t=0.35) + " SELECT id, component FROM comp")
+def _(s, d):
+    return dedup.components(_nodes(s, d), _pairs(s, d, 0.35))
+
+
+_MARKED_SQL = _PAIRS_SQL.format(t=0.4) + """, m AS (SELECT id, component, sim, 'u' || id AS url, n_chars, row_number() OVER (PARTITION BY component ORDER BY n_chars DESC, id) = 1 AS is_primary FROM comp JOIN best USING (id) JOIN documents ON doc_id = id)"""
+
+
+def _marked(s, d):
+    pairs = dedup._kept(_pairs(s, d, 0.4), "pairs")
+    nodes = _nodes(s, d)
+    rows = dedup.components(nodes, pairs).join(dedup.max_similarity(nodes, pairs), "id").join(docs(s, d).select(F.col("doc_id").alias("id"), F.col("n_chars").alias("char_count")), "id")
+    return dedup.primaries(rows.withColumns({"pos": F.col("id"), "url": F.concat(F.lit("u"), F.col("id"))}))
+
+
+@query("cluster_primary", _MARKED_SQL + " SELECT id, component, is_primary FROM m")
+def _(s, d):
+    return _marked(s, d).select("id", "component", "is_primary")
+
+
+@query("dedup_survivors", _MARKED_SQL + " SELECT id, round(sim, 4) AS max_similarity, count(*) OVER (PARTITION BY component) AS cluster_size, is_primary FROM m")
+def _(s, d):
+    return dedup.survivors(_marked(s, d)).select("id", "max_similarity", "cluster_size", "is_primary")
+
+
+@query("duplicate_urls", _MARKED_SQL + " SELECT id, coalesce((SELECT string_agg(o.url, ',' ORDER BY o.id) FROM m o WHERE o.component = m.component AND o.id <> m.id), '') AS urls FROM m")
+def _(s, d):
+    return dedup.survivors(_marked(s, d)).select("id", F.array_join("duplicate_urls", ",").alias("urls"))
+
+
+# --- scheduling -------------------------------------------------------------------------------------------
+_LOG_SQL = "SELECT event_id, user_id, event_type <> 'error' AS ok FROM events"
+
+
+@query("circuit_breaker", f"""WITH l AS ({_LOG_SQL}), f AS (SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS 2 PRECEDING) AS k FROM l),
+t AS (SELECT user_id, min(event_id) AS tripped FROM f WHERE k = 3 GROUP BY user_id) SELECT event_id, coalesce(event_id > tripped, false) AS blocked FROM l LEFT JOIN t USING (user_id)""")
+def _(s, d):
+    log = table(s, d, "events").select("event_id", "user_id", (F.col("event_type") != "error").alias("ok"))
+    return schedule.breaker(log, "user_id", "ok", "event_id").select("event_id", "blocked")
+
+
+@query("crawl_schedule", f"SELECT page_id, CASE WHEN p IS NULL THEN 0.0 WHEN p = domain THEN 2.0 ELSE 0.5 END AS wait FROM (SELECT page_id, domain, lag(domain) OVER (PARTITION BY page_id % 16 ORDER BY turn, queue) AS p FROM ({_ROBIN}))")
+def _(s, d):
+    return schedule.delays(_robin(s, d).withColumn("queue_of", F.col("page_id") % 16), ["turn", "queue"]).select("page_id", "wait")
+
+
+_ROBOTS = "User-agent: bot\nDisallow: /private\nCrawl-delay: 3\n\nUser-agent: *\nDisallow:\n"
+
+
+@query("robots_allow")
+def _(s, d):
+    rows = pages(s, d).select("page_id", "url", F.when(F.col("page_id") % 3 == 0, 404).otherwise(200).alias("status"), F.lit(_ROBOTS).alias("body"))
+    return schedule.robots(rows, "bot").select("page_id", "allowed", "crawl_delay")
+
+
+@query("extract_fallback", "SELECT page_id, CASE WHEN page_id % 2 = 0 OR page_id % 5 = 0 THEN 'library' ELSE 'service' END AS content FROM pages")
+def _(s, d):
+    answer = lambda ok, name: F.struct(ok.alias("success"), F.lit(name).alias("content"))
+    rows = pages(s, d).select("page_id", F.when(F.col("page_id") % 2 == 0, "library").otherwise("service").alias("method"), answer(F.col("page_id") % 5 != 0, "service").alias("service"), answer(F.lit(True), "library").alias("library"))
+    return schedule.fallback(rows).select("page_id", "result.content")
+
+
+# --- delivery ---------------------------------------------------------------------------------------------
+@query("push_format", "SELECT doc_id, CASE source WHEN 'src1' THEN '中央社' ELSE source END AS source, 'deduplicated' AS status, '2026-01-01' AS published_at FROM documents")
+def _(s, d):
+    rows = docs(s, d).withColumns({"published_at": F.lit(None).cast("string"), "crawled_at": F.lit("2026-01-01"), "article_type": F.lit("original"), "max_similarity": F.lit(0.0), "cluster_size": F.lit(1), "is_primary": F.lit(True)})
+    return delivery.api_rows(rows, {"src1": "中央社"}).select("doc_id", "source", "status", "published_at")
+
+
+@query("push_batches", "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 50 AS batch FROM documents")
+def _(s, d):
+    return delivery.batches(docs(s, d).select("doc_id"), "doc_id").select("doc_id", "batch")
+
+
+@query("run_stats", "SELECT count(*) FILTER (WHERE n_chars >= 1000) AS ok, count(*) FILTER (WHERE n_chars < 1000) AS quality_failed, count(*) AS total_collected FROM documents")
+def _(s, d):
+    rows = docs(s, d).select(F.when(F.col("n_chars") >= 1000, "ok").otherwise("quality_failed").alias("status"))
+    return meta.run_counts(rows, names=("ok", "quality_failed"))
+
+
+# --- whole articles and landed feeds ----------------------------------------------------------------------
+@query("clean_article")
+def _(s, d):
+    rows = pages(s, d).select(F.col("html").alias("raw"), F.lit("").alias("title"), "url", F.lit("").alias("summary"), F.lit("src").alias("source"), F.lit("news").alias("feed_category"), F.lit(None).cast("timestamp").alias("published_at"), F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("extractor_title"))
+    return clean.clean_article(rows, LATIN)
+
+
+@query("hashed_embedding_pairs")
+def _(s, d):
+    vectors = dedup._kept(dedup.hashed_embedder(dedup.keep_first(docs(s, d).select("doc_id", "text"), ["text"], ["doc_id"])).select("doc_id", "vector"), "vectors")
+    return dedup.cosine_pairs(vectors, "doc_id", "vector", 0.98)
+
+
+def _landed(s: SparkSession, rows: DataFrame, kind: str) -> str:
+    """A folder of text files for the scans to read, beside the other scratch tables."""
+    import uuid
+
+    base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir() or s.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/landed-{kind}-{uuid.uuid4().hex}"
+    rows.write.text(path)
+    return path
+
+
+@query("xml_feed_scan", "SELECT min(page_id) AS page_id, url FROM (SELECT page_id, split_part(url, '?utm_', 1) AS url FROM pages) GROUP BY url")
+def _(s, d):
+    from siltstone.sources import feeds
+
+    safe = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
+    items = pages(s, d).select(F.concat(F.lit("<item><title>"), F.col("page_id"), F.lit("</title><link>"), safe, F.lit("</link></item>")))
+    out = feeds.rss(s, _landed(s, items, "rss"), "s", "news")
+    first = out.select(F.col("title").cast("long").alias("page_id"), "url")
+    return first.groupBy("url").agg(F.min("page_id").alias("page_id")).select("page_id", "url")
+
+
+@query("json_api_scan", "SELECT page_id AS title FROM pages WHERE page_id < 80")
+def _(s, d):
+    from siltstone.sources import feeds
+
+    rows = pages(s, d).groupBy(F.floor(F.col("page_id") / 40).cast("int").alias("page")).agg(F.collect_list(F.struct(F.col("page_id").cast("string").alias("title"), F.concat(F.lit("/a/"), "page_id", F.lit("?x")).alias("titleLink"))).alias("lists"))
+    landed = rows.where("page < 5").select(F.to_json(F.struct("page", F.lit(200).alias("status"), (F.col("page") == 1).alias("end"), "lists")))
+    return feeds.json_api(s, _landed(s, landed, "json"), "s", "news", "http://x").select(F.col("title").cast("long").alias("title"))
+
+
+@query("sitemap_scan", "SELECT page_id AS title FROM pages")
+def _(s, d):
+    from siltstone.sources import feeds
+
+    items = pages(s, d).select(F.concat(F.lit("<url><loc>http://x/"), "page_id", F.lit("</loc><news:news><news:title>"), "page_id", F.lit("</news:title><news:publication_date>2026-03-06</news:publication_date></news:news></url>")))
+    return feeds.sitemap(s, _landed(s, items, "map"), "s", "news").select(F.col("title").cast("long").alias("title"))
