@@ -108,7 +108,7 @@ def survivors(marked: DataFrame, removed: int | Column = 0, mode: str = "referen
         first = F.row_number().over(Window.partitionBy("component", "article_type").orderBy("pos"))
         drop = drop & ~((left == 0) & (first == 1))
     members = out.groupBy("component").agg(F.count("*").alias("cluster_size"), F.sort_array(F.collect_list(F.struct("pos", "url"))).alias("members"))
-    kept = out.where(~drop).join(members, "component")
+    kept = out.withColumn("_drop", drop).where("not _drop").drop("_drop").join(members, "component")
     others = F.transform(F.filter("members", lambda m: m.pos != F.col("pos")), lambda m: m.url)
     return kept.withColumns({"duplicate_urls": others, "max_similarity": F.round("max_sim", 4), "layer1_exact_removed": removed if isinstance(removed, Column) else F.lit(removed)}).drop("members")
 

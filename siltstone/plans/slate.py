@@ -465,17 +465,23 @@ def _landed(s: SparkSession, rows: DataFrame, kind: str) -> str:
 
     base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir() or s.conf.get("spark.sql.warehouse.dir")
     path = f"{base.rstrip('/')}/landed-{kind}-{uuid.uuid4().hex}"
-    rows.write.text(path)
+    rows.write.partitionBy("g").text(path) if "g" in rows.columns else rows.write.text(path)
     return path
 
 
+def _documents(items: DataFrame, root: str) -> DataFrame:
+    """(g, value): one XML document for every 500 items (id, item)."""
+    grouped = items.groupBy(F.floor(F.col("id") / 500).alias("g")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "item"))), lambda x: x.item), "").alias("v"))
+    return grouped.select("g", F.concat(F.lit(f"<{root}>"), "v", F.lit(f"</{root}>")).alias("value"))
+
+
 @query("xml_feed_scan", "SELECT min(page_id) AS page_id, url FROM (SELECT page_id, split_part(url, '?utm_', 1) AS url FROM pages) GROUP BY url")
 def _(s, d):
     from siltstone.sources import feeds
 
     safe = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
-    items = pages(s, d).select(F.concat(F.lit("<item><title>"), F.col("page_id"), F.lit("</title><link>"), safe, F.lit("</link></item>")))
-    out = feeds.rss(s, _landed(s, items, "rss"), "s", "news")
+    items = pages(s, d).select(F.col("page_id").alias("id"), F.concat(F.lit("<item><title>"), F.col("page_id"), F.lit("</title><link>"), safe, F.lit("</link></item>")).alias("item"))
+    out = feeds.rss(s, _landed(s, _documents(items, "rss"), "rss"), "s", "news")
     first = out.select(F.col("title").cast("long").alias("page_id"), "url")
     return first.groupBy("url").agg(F.min("page_id").alias("page_id")).select("page_id", "url")
 
@@ -493,5 +499,5 @@ def _(s, d):
 def _(s, d):
     from siltstone.sources import feeds
 
-    items = pages(s, d).select(F.concat(F.lit("<url><loc>http://x/"), "page_id", F.lit("</loc><news:news><news:title>"), "page_id", F.lit("</news:title><news:publication_date>2026-03-06</news:publication_date></news:news></url>")))
-    return feeds.sitemap(s, _landed(s, items, "map"), "s", "news").select(F.col("title").cast("long").alias("title"))
+    items = pages(s, d).select(F.col("page_id").alias("id"), F.concat(F.lit("<url><loc>http://x/"), "page_id", F.lit("</loc><news:news><news:title>"), "page_id", F.lit("</news:title><news:publication_date>2026-03-06</news:publication_date></news:news></url>")).alias("item"))
+    return feeds.sitemap(s, _landed(s, _documents(items, 'urlset xmlns:news="n"').withColumn("value", F.replace("value", F.lit('</urlset xmlns:news="n">'), F.lit("</urlset>"))), "map"), "s", "news").select(F.col("title").cast("long").alias("title"))
