@@ -239,12 +239,16 @@ def find(texts: pa.Array, field: Field | None) -> list[tuple[list[Span], list[Sp
 
 
 def sample_texts(docs: DataFrame, most: int) -> list[str]:
-    """At most `most` texts that the patterns mark and a quarter as many others, by the order of their hash:
-    the documented bound of what the field is fitted on."""
+    """At most `most` distinct texts that the patterns mark and a quarter as many others, by the order of their hash:
+    the documented bound of what the field is fitted on. Hashes are ranked first, so tasks send numbers, not texts."""
     marked = F.col("text").rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}")
     rows = docs.select("text", marked.alias("marked"), F.xxhash64("text").alias("h")).where(F.length("text").between(1, 20_000))
-    some = rows.where("marked").orderBy("h", "text").limit(most).union(rows.where("not marked").orderBy("h", "text").limit(most // 4))
-    return [r.text for r in some.select("text").collect()]
+    out: list[str] = []
+    for part, n in ((rows.where("marked"), most), (rows.where("not marked"), most // 4)):
+        bound = part.select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+        if bound is not None:
+            out += [r.text for r in part.where(F.col("h") <= bound).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect()]
+    return out
 
 
 def scan(docs: DataFrame, field: Field | None, keep: list[str]) -> DataFrame:
