@@ -65,11 +65,12 @@ while _EDGES[-1] < 1 << 40:
 EDGES = np.array(_EDGES)
 
 
-def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of all sets, the set of each, and for each set and scheme (own band, the one below) how many
-    shared signatures leave a partner possible."""
+def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of all sets, the set and the scheme of each (0: own band, 1: the one below; 2 more
+    for what only sets with too few segments in use have), and for each set and
+    scheme the most shingles, H, by which a partner differs."""
     n = np.diff(offsets)
-    sigs, owners, needs = [], [], []
+    sigs, owners, belows, differs = [], [], [], []
     band = np.searchsorted(EDGES, n, "right") - 1
     for below in (0, 1):
         scheme = band - below
@@ -90,7 +91,8 @@ def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         owners.append(doc[first])
         filled = np.bincount(doc[first], minlength=len(n))
         short = used & (filled <= differ)
-        needs.append(np.where(used, np.where(short, 1, filled - differ), 1 << 30))
+        belows.append(np.full(len(first), below))
+        differs.append(np.where(used, differ, -1))
         for i in np.flatnonzero(short):
             a, b = np.searchsorted(doc, [i, i + 1])
             seg, inv = np.arange(segments[i]), np.searchsorted(first, np.arange(a, b), "right") - 1
@@ -103,7 +105,17 @@ def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
                 more.append(mix(x[a:b] + np.uint64(int(scheme[i]) + (1 << 50))))
             sigs.extend(more)
             owners.extend(np.full(len(m), i) for m in more)
-    return np.concatenate(sigs), np.concatenate(owners), np.stack(needs, axis=1)
+            belows.extend(np.full(len(m), below + 2) for m in more)
+    return np.concatenate(sigs), np.concatenate(owners), np.concatenate(belows), np.stack(differs, axis=1)
+
+
+def needs(owner: np.ndarray, below: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """For each set, the least number of shared signatures that leaves a partner: those in use less H, 1 where
+    they are too few, and never where it has none."""
+    plain = below < 2
+    filled = np.bincount(owner[plain] * 2 + below[plain], minlength=2 * len(differ)).reshape(-1, 2)
+    left = np.where(differ < 0, 1 << 30, np.maximum(filled - differ, 1))
+    return left.min(axis=1)
 
 
 def _prints(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,9 +135,10 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_bytes(batches):
         sets, offsets = shingle_sets(batch.column("text"))
-        _, _, needs = signatures(sets, offsets)
+        _, owner, below, differ = signatures(sets, offsets)
+        need = needs(owner, below, differ).astype(np.int64)
         a, b = _prints(sets, offsets)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (np.diff(offsets), a, b, needs.min(axis=1).astype(np.int64)))], names=["doc_id", "n_shingles", "f1", "f2", "need"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (np.diff(offsets), a, b, need))], names=["doc_id", "n_shingles", "f1", "f2", "need"])
 
 
 def _packed(sig: np.ndarray, doc: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -152,6 +165,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         mine = parts.pop(k)
         sig = np.frombuffer(b"".join(s for s, _ in mine), np.uint64)
         doc = np.frombuffer(b"".join(d for _, d in mine), np.int64)
+        doc = doc.reshape(len(sig), -1) if len(doc) > len(sig) else doc
         order = np.argsort(sig, kind="stable")
         yield sig[order], doc[order]
 
@@ -160,47 +174,119 @@ def _dealt(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.repartition(buckets, "bucket")
 
 
+def _tally(dealt: DataFrame, buckets: int, count, kind: str, finish) -> DataFrame:
+    """Sums of small vectors by document over all buckets of signatures. `count` gives keys and a row of numbers for
+    each from one bucket; they travel packed by key, one row a pair of buckets, and `finish` makes batches of the sums."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sig, doc in _unpack(batches):
+            key, rows = count(sig, doc)
+            if len(key):
+                yield _packed(key.view(np.uint64), rows, buckets)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list[tuple[bytes, bytes]]] = {}
+        for batch in batches:
+            for k, s, d in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                parts.setdefault(k, []).append((s, d))
+        for k in list(parts):
+            mine = parts.pop(k)
+            key = np.frombuffer(b"".join(s for s, _ in mine), np.int64)
+            rows = np.frombuffer(b"".join(d for _, d in mine), np.int64).reshape(len(key), -1)
+            known, which = np.unique(key, return_inverse=True)
+            sums = np.zeros((len(known), rows.shape[1]), np.int64)
+            np.add.at(sums, which, rows)
+            yield finish(known, sums)
+
+    return dealt.mapInArrow(part, _PACKED).repartition(buckets, "bucket").mapInArrow(whole, kind)
+
+
+def _groups(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal signatures starts, and its size."""
+    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(sig)))
+
+
 def unsettled(docs: DataFrame, facts: DataFrame, buckets: int) -> DataFrame:
     """Of `facts`, the rows that signatures leave a partner."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, most=2 << 20):
-            sig, owner, _ = signatures(*shingle_sets(batch.column("text")))
+            sig, owner, _, _ = signatures(*shingle_sets(batch.column("text")))
             yield _packed(sig, _ids(batch)[owner], buckets)
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig, doc in _unpack(batches):
-            same = np.zeros(len(sig), bool)
-            equal = sig[1:] == sig[:-1]
-            same[1:] |= equal
-            same[:-1] |= equal
-            who, times = np.unique(doc[same], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(times.astype(np.int64))], names=["doc_id", "times"])
+    def shared(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        _, size = _groups(sig)
+        who, times = np.unique(doc[np.repeat(size > 1, size)], return_counts=True)
+        return who, times.astype(np.int64)[:, None]
 
+    finish = lambda known, sums: pa.RecordBatch.from_arrays([pa.array(known), pa.array(sums[:, 0])], names=["doc_id", "times"])
     packed = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(pack, _PACKED)
-    times = _dealt(packed, buckets).mapInArrow(shared, "doc_id long, times long").groupBy("doc_id").agg(F.sum("times").alias("times"))
+    times = _tally(_dealt(packed, buckets), buckets, shared, "doc_id long, times long", finish)
     return facts.join(times, "doc_id").where("times >= need").drop("times")
 
 
+#: Classes of how many documents share a signature: at most 1, 2, 4 and so on.
+_COSTS = 40
+
+
+def _set_signatures(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    raw, offsets = offsets_of(batch.column("items"))
+    sig, owner, below, differ = signatures(np.frombuffer(raw.tobytes(), np.uint64), offsets // 8)
+    return sig, owner, below, differ
+
+
 def families(sets: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, family) of documents that share a signature with another."""
+    """(doc_id, family) of documents that share a signature which one of them needs.
+
+    Allocation by cost: a document needs H + 1 of its segments in each scheme and takes those that the
+    fewest documents share, so a passage that many documents have joins only documents that consist of such."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "items", most=4 << 20):
-            raw, offsets = offsets_of(batch.column("items"))
-            sig, owner, _ = signatures(np.frombuffer(raw.tobytes(), np.uint64), offsets // 8)
-            yield _packed(sig, _ids(batch)[owner], buckets)
+            sig, owner, below, differ = _set_signatures(batch)
+            sig, owner, below = sig[below < 2], owner[below < 2], below[below < 2]
+            yield _packed(sig, np.stack([_ids(batch)[owner] * 2 + below, differ[owner, below] + 1], axis=1), buckets)
+
+    def costs(sig: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        _, size = _groups(sig)
+        cost = np.ceil(np.log2(np.repeat(size, size))).astype(np.int64)
+        known, which = np.unique(rows[:, 0], return_inverse=True)
+        out = np.zeros((len(known), _COSTS + 2), np.int64)
+        np.add.at(out, (which, cost), 1)
+        out[which, _COSTS] = rows[:, 1]
+        out[:, _COSTS + 1] = 1
+        return known, out
+
+    def limits(known: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        need = sums[:, _COSTS] // sums[:, _COSTS + 1]  # the same number came from every bucket
+        enough = np.cumsum(sums[:, :_COSTS], axis=1) >= need[:, None]
+        limit = np.where(enough.any(axis=1), enough.argmax(axis=1), _COSTS)
+        return pa.RecordBatch.from_arrays([pa.array(known >> 1), pa.array(known & 1), pa.array(limit)], names=["doc_id", "below", "cost"])
+
+    dealt = _dealt(sets.select("doc_id", "items").mapInArrow(pack, _PACKED), buckets)
+    found = _tally(dealt, buckets, costs, "doc_id long, below long, cost long", limits).groupBy("doc_id").agg(F.max(F.when(F.col("below") == 0, F.col("cost"))).alias("c0"), F.max(F.when(F.col("below") == 1, F.col("cost"))).alias("c1"))
+    open_ = settle(sets.join(found.where("c0 > 0 or c1 > 0").select("doc_id", F.coalesce("c0", F.lit(0)).alias("c0"), F.coalesce("c1", F.lit(0)).alias("c1")), "doc_id"), "open-sets")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_bytes(batches, "items", most=4 << 20):
+            sig, owner, below, _ = _set_signatures(batch)
+            cost = np.stack([batch.column("c0").to_numpy(), batch.column("c1").to_numpy()], axis=1).astype(np.int64)
+            yield _packed(sig, np.stack([_ids(batch)[owner], cost[owner, below & 1]], axis=1), buckets)
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig, doc in _unpack(batches):
-            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
-            size = np.diff(np.append(first, len(sig)))
-            low = np.repeat(np.minimum.reduceat(doc, first), size) if len(first) else doc
-            edges = np.unique(np.stack([low, doc], axis=1)[low != doc], axis=0)
+        for sig, rows in _unpack(batches):
+            first, size = _groups(sig)
+            if not len(first):
+                continue
+            doc = rows[:, 0]
+            wanted = np.maximum.reduceat(rows[:, 1], first) >= np.ceil(np.log2(size))
+            low = np.repeat(np.minimum.reduceat(doc, first), size)
+            edges = np.unique(np.stack([low, doc], axis=1)[(low != doc) & np.repeat(wanted, size)], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
 
-    packed = sets.select("doc_id", "items").mapInArrow(pack, _PACKED)
-    return components(_dealt(packed, buckets).mapInArrow(stars, "a long, b long").distinct()).withColumnRenamed("component", "family").withColumnRenamed("id", "doc_id")
+    edges = _dealt(open_.mapInArrow(send, _PACKED), buckets).mapInArrow(stars, "a long, b long").distinct()
+    return components(edges).withColumnRenamed("component", "family").withColumnRenamed("id", "doc_id")
 
 
 def components(edges: DataFrame) -> DataFrame:
