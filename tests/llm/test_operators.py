@@ -297,3 +297,13 @@ def test_code_and_stream():
     raw, starts, ends, offsets = context_mixing._parse(pa.array(["A  b", None, " c "]))
     symbols, places, edges = context_mixing.stream(raw, starts, ends, offsets)
     assert [bytes(symbols[places[a:b]]) for a, b in zip(edges, edges[1:], strict=False)] == [b"a b\0", b"\0", b"c\0"]
+
+
+def test_every_order_predicts():
+    """Places after the same 1, 2, 3 or 5 bytes share one more slot each; an order 1 model backs the others off."""
+    raw, starts, ends, offsets = context_mixing._parse(pa.array(["vwxyzq", "11111zq", "1111yzq", "111xyzq", "1vwxyzq"]))
+    symbols, places, edges = context_mixing.stream(raw, starts, ends, offsets)
+    slot, _, size = context_mixing.slots(symbols, places)
+    first = np.concatenate([[0], np.cumsum(size)])
+    at = [slot[:, first[b - 2]] for b in edges[1:]]  # the q before the end mark
+    assert [int((at[0] == x).sum()) for x in at] == [4, 1, 2, 3, 4]
