@@ -307,3 +307,10 @@ def test_every_order_predicts():
     first = np.concatenate([[0], np.cumsum(size)])
     at = [slot[:, first[b - 2]] for b in edges[1:]]  # the q before the end mark
     assert [int((at[0] == x).sum()) for x in at] == [4, 1, 2, 3, 4]
+
+
+def test_counts_outlive_the_words_sent_on():
+    """The last batch of a task sends its words on; its contexts and weights must come all the same."""
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["a b c d e", "f g h"])})
+    kinds = lambda most: [k for out in context_mixing.gather(iter([batch]), 1, most) for k in out.column("kind").to_pylist()]
+    assert kinds(3) == [0, 1, 3] and kinds(100) == [0, 1, 3]
