@@ -128,8 +128,8 @@ def _prints(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+def _ids(batch: pa.RecordBatch, name: str = "doc_id") -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +237,8 @@ def _set_signatures(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def families(sets: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, family) of documents that share a signature which one of them needs.
+    """(node, family) of sets that share a signature which one of them needs. A document whose rows have several
+    texts has several sets, each with its own costs and need.
 
     Allocation by cost: a document needs H + 1 of its segments in each scheme and takes those that the
     fewest documents share, so a passage that many documents have joins only documents that consist of such."""
@@ -246,7 +247,7 @@ def families(sets: DataFrame, buckets: int) -> DataFrame:
         for batch in in_bytes(batches, "items", most=4 << 20):
             sig, owner, below, differ = _set_signatures(batch)
             sig, owner, below = sig[below < 2], owner[below < 2], below[below < 2]
-            yield _packed(sig, np.stack([_ids(batch)[owner] * 2 + below, differ[owner, below] + 1], axis=1), buckets)
+            yield _packed(sig, np.stack([_ids(batch, "node")[owner] * 2 + below, differ[owner, below] + 1], axis=1), buckets)
 
     def costs(sig: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _, size = _groups(sig)
@@ -262,17 +263,17 @@ def families(sets: DataFrame, buckets: int) -> DataFrame:
         need = sums[:, _COSTS] // sums[:, _COSTS + 1]  # the same number came from every bucket
         enough = np.cumsum(sums[:, :_COSTS], axis=1) >= need[:, None]
         limit = np.where(enough.any(axis=1), enough.argmax(axis=1), _COSTS)
-        return pa.RecordBatch.from_arrays([pa.array(known >> 1), pa.array(known & 1), pa.array(limit)], names=["doc_id", "below", "cost"])
+        return pa.RecordBatch.from_arrays([pa.array(known >> 1), pa.array(known & 1), pa.array(limit)], names=["node", "below", "cost"])
 
-    dealt = _dealt(sets.select("doc_id", "items").mapInArrow(pack, _PACKED), buckets)
-    found = _tally(dealt, buckets, costs, "doc_id long, below long, cost long", limits).groupBy("doc_id").agg(F.max(F.when(F.col("below") == 0, F.col("cost"))).alias("c0"), F.max(F.when(F.col("below") == 1, F.col("cost"))).alias("c1"))
-    open_ = settle(sets.join(found.where("c0 > 0 or c1 > 0").select("doc_id", F.coalesce("c0", F.lit(0)).alias("c0"), F.coalesce("c1", F.lit(0)).alias("c1")), "doc_id"), "open-sets")
+    dealt = _dealt(sets.select("node", "items").mapInArrow(pack, _PACKED), buckets)
+    found = _tally(dealt, buckets, costs, "node long, below long, cost long", limits).groupBy("node").agg(F.max(F.when(F.col("below") == 0, F.col("cost"))).alias("c0"), F.max(F.when(F.col("below") == 1, F.col("cost"))).alias("c1"))
+    open_ = settle(sets.join(found.where("c0 > 0 or c1 > 0").select("node", F.coalesce("c0", F.lit(0)).alias("c0"), F.coalesce("c1", F.lit(0)).alias("c1")), "node"), "open-sets")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "items", most=4 << 20):
             sig, owner, below, _ = _set_signatures(batch)
             cost = np.stack([batch.column("c0").to_numpy(), batch.column("c1").to_numpy()], axis=1).astype(np.int64)
-            yield _packed(sig, np.stack([_ids(batch)[owner], cost[owner, below & 1]], axis=1), buckets)
+            yield _packed(sig, np.stack([_ids(batch, "node")[owner], cost[owner, below & 1]], axis=1), buckets)
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sig, rows in _unpack(batches):
@@ -286,7 +287,7 @@ def families(sets: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
 
     edges = _dealt(open_.mapInArrow(send, _PACKED), buckets).mapInArrow(stars, "a long, b long").distinct()
-    return components(edges).withColumnRenamed("component", "family").withColumnRenamed("id", "doc_id")
+    return components(edges).withColumnRenamed("component", "family").withColumnRenamed("id", "node")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -352,14 +353,14 @@ def search(items: list[np.ndarray]) -> np.ndarray:
 def linked(sets: DataFrame, grouped: DataFrame) -> DataFrame:
     """Edges (a, b) that connect each family as its links do."""
     sized = grouped.groupBy("family").count().withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-    rows = grouped.join(sized, "family").join(sets.select("doc_id", "items"), "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    rows = grouped.join(sized, "family").join(sets.select("node", "doc_id", "items"), "node")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     rows = rows.withColumn("block", block).withColumn("other", F.explode(other))
-    rows = rows.select("family", "doc_id", "items", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    rows = rows.select("family", "node", "doc_id", "items", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", ignore_index=True)
+        pdf = pdf.sort_values(["doc_id", "node"], ignore_index=True)
         items = [np.frombuffer(x, np.uint64) for x in pdf["items"]]
         root = search(items)
         ids = pdf["doc_id"].to_numpy()
@@ -384,7 +385,8 @@ def classes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([sets[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)], pa.binary())], names=["doc_id", "items"])
 
     reps = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = settle(rows.join(reps, "doc_id", "left_semi").mapInArrow(build, "doc_id long, items binary"), "shingle-sets")
+    own = rows.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])  # repeated rows are one set
+    sets = settle(own.mapInArrow(build, "doc_id long, items binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
     grouped = families(sets, buckets)
     edges = linked(sets, grouped).union(members.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     labels = components(edges)

@@ -314,3 +314,16 @@ def test_counts_outlive_the_words_sent_on():
     batch = pa.RecordBatch.from_pydict({"text": pa.array(["a b c d e", "f g h"])})
     kinds = lambda most: [k for out in context_mixing.gather(iter([batch]), 1, most) for k in out.column("kind").to_pylist()]
     assert kinds(3) == [0, 1, 3] and kinds(100) == [0, 1, 3]
+
+
+def test_ngram_join_of_repeated_rows(spark):
+    """Every row twice, pairs that differ by up to the limit, and ids with several texts: no link is lost."""
+    rows = []
+    for k in range(1, 17):
+        text = [f"p{k}w{j}" for j in range(104)]
+        other = text[:-k] + [f"p{k}x{j}" for j in range(k)]
+        rows += [(4 * k, " ".join(text)), (4 * k + 1, " ".join(other))]
+        rows += [(4 * k, f"again {k} " * 9)] if k % 3 == 0 else []
+    rows = [(i, t, None, None, None) for i, t in rows for _ in range(2)]
+    got = key(ngram_join.op6(frame(spark, rows)).collect(), "doc_id", "n_shingles", "component_id")
+    assert got == linked(rows) and sum(i != c for i, _, c in got) == 28
