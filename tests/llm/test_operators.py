@@ -327,3 +327,18 @@ def test_ngram_join_of_repeated_rows(spark):
     rows = [(i, t, None, None, None) for i, t in rows for _ in range(2)]
     got = key(ngram_join.op6(frame(spark, rows)).collect(), "doc_id", "n_shingles", "component_id")
     assert got == linked(rows) and sum(i != c for i, _, c in got) == 28
+
+
+def test_decontamination_of_short_cased_and_edited_copies(spark):
+    """Short items inside longer texts, copies in other cases, and a verbatim or refilled passage with one slot edited."""
+    item = "Maria buys two crates of ripe apples and then walks slowly with Peter to the market where she sells two crates again for cash"
+    odd = item.replace("sells two", "sells six")
+    refilled = odd.replace("buys two", "buys nine")
+    filler = " ".join(f"w{i}x" for i in range(20))
+    frame_only = " ".join(w if i % 3 else f"z{i}" for i, w in enumerate(item.split()))
+    texts = [f"{filler} tiny item here {filler}", f"{filler} {item.upper()} {filler}", f"{filler} {item.title()}", f"{item.lower()} {filler}", f"{filler} {odd} {filler}", f"{filler} {refilled} {filler}", f"{filler} {frame_only}", f"{filler} tiny other {filler}", "so tiny item"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "Tiny item.")], "item_id long, text string")
+    got = {r.doc_id: r.items for r in decontaminate.flagged(docs, bench).collect()}
+    assert got == {0: "2", 1: "1", 2: "1", 3: "1", 4: "1", 5: "1", 6: "", 7: "", 8: "2"}
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {6, 7}
