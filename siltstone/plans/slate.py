@@ -495,6 +495,17 @@ def _(s, d):
     return feeds.json_api(s, _landed(s, landed, "json"), "s", "news", "http://x").select(F.col("title").cast("long").alias("title"))
 
 
+@query("json_api_scan_all", "SELECT page_id AS title FROM pages")
+def _(s, d):
+    """All of pages as API pages of 40 rows: the stop lies past the data."""
+    from siltstone.sources import feeds
+
+    rows = pages(s, d).select(F.floor(F.col("page_id") / 40).cast("int").alias("page"), F.struct(F.col("page_id").cast("string").alias("title"), F.concat(F.lit("/a/"), "page_id", F.lit("?x")).alias("titleLink")).alias("x"))
+    landed = rows.groupBy("page").agg(F.collect_list("x").alias("lists")).select(F.to_json(F.struct("page", F.lit(200).alias("status"), F.lit(False).alias("end"), "lists")))
+    most = (rows.agg(F.max("page")).first()[0] or 0) + 1
+    return feeds.json_api(s, _landed(s, landed, "json"), "s", "news", "http://x", most).select(F.col("title").cast("long").alias("title"))
+
+
 @query("sitemap_scan", "SELECT page_id AS title FROM pages")
 def _(s, d):
     from siltstone.sources import feeds

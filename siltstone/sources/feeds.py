@@ -36,7 +36,7 @@ def json_api(spark: SparkSession, path: str, source: str, category: str, prefix:
     limit = min(stop.bad if stop.bad is not None else most_pages, stop.end + 1 if stop.end is not None else most_pages)
     rows = pages.where(F.col("page") < limit).select("page", F.posexplode("lists").alias("i", "x"))
     url = F.concat(F.lit(prefix), F.substring_index("x.titleLink", "?", 1))
-    out = rows.where("x.title != '' and x.titleLink != ''").select(F.lit(source).alias("source"), strip(F.col("x.title")).alias("title"), url.alias("url"), parse_time(F.col("x.time.date")).alias("published_at"), F.lit("").alias("summary"), F.coalesce("x.cate_name", F.lit(category)).alias("feed_category"), (F.col("page") * 1_000_000 + F.col("i")).alias("pos"))
+    out = rows.where("x.title != '' and x.titleLink != ''").select(F.lit(source).alias("source"), strip(F.col("x.title")).alias("title"), url.alias("url"), parse_time(F.col("x.time.date")).alias("published_at"), F.lit("").alias("summary"), F.coalesce("x.cate_name", F.lit(category)).alias("feed_category"), (F.col("page").cast("long") * 1_000_000 + F.col("i")).alias("pos"))
     return _first(out)
 
 

@@ -92,3 +92,15 @@ def test_deliver(spark):
 def test_every_query_has_a_name_and_most_have_sql():
     assert len(slate.QUERIES) >= 50
     assert set(slate.ORACLE_SQL) <= set(slate.QUERIES)
+
+
+def test_json_api_scans_all_pages_or_stops_early(spark, tmp_path):
+    from siltstone.sources import feeds
+
+    spark.range(1000).selectExpr("id as page_id", "concat('http://x/', id) url").write.parquet(str(tmp_path / "pages.parquet"))
+    got = slate.QUERIES["json_api_scan_all"](spark, str(tmp_path)).collect()
+    assert sorted(r.title for r in got) == list(range(1000))
+    page = lambda n, end="false", status=200: (f'{{"page": {n}, "status": {status}, "end": {end}, "lists": [{{"title": "t{n}", "titleLink": "/{n}"}}]}}',)
+    for name, rows, want in (("end", [page(0), page(1, "true"), page(2)], ["t0", "t1"]), ("bad", [page(0), page(1, status=500), page(2)], ["t0"])):
+        spark.createDataFrame(rows, "value string").write.text(str(tmp_path / name))
+        assert sorted(r.title for r in feeds.json_api(spark, str(tmp_path / name), "s", "news", "http://x").collect()) == want
