@@ -456,7 +456,7 @@ def _(s, d):
 @query("hashed_embedding_pairs")
 def _(s, d):
     vectors = dedup._kept(dedup.hashed_embedder(dedup.keep_first(docs(s, d).select("doc_id", "text"), ["text"], ["doc_id"])).select("doc_id", "vector"), "vectors")
-    return dedup.cosine_pairs(vectors, "doc_id", "vector", 0.98)
+    return dedup.cosine_pairs(vectors, "doc_id", "vector")
 
 
 def _landed(s: SparkSession, rows: DataFrame, kind: str) -> str:

@@ -104,3 +104,26 @@ def test_json_api_scans_all_pages_or_stops_early(spark, tmp_path):
     for name, rows, want in (("end", [page(0), page(1, "true"), page(2)], ["t0", "t1"]), ("bad", [page(0), page(1, status=500), page(2)], ["t0"])):
         spark.createDataFrame(rows, "value string").write.text(str(tmp_path / name))
         assert sorted(r.title for r in feeds.json_api(spark, str(tmp_path / name), "s", "news", "http://x").collect()) == want
+
+
+def test_hashed_embedding_pairs_are_all_pairs(spark, tmp_path):
+    """Of all classes from 0.50 up, as by brute force."""
+    import itertools
+    import zlib
+
+    rng = np.random.default_rng(4)
+    base = ["".join(rng.choice(list("abcdef "), 300)) for _ in range(3)] + ["".join(rng.choice(list("ghij "), 300)) for _ in range(2)]
+    texts = [*base, base[0][:150] + base[3][:150], base[1][:220] + base[4][:80], base[2][:290] + base[3][:10], base[0] + "x", "short"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def vector(t):
+        v = np.zeros(256)
+        for i in range(len(t) - 2):
+            v[zlib.crc32(t[i : i + 3].encode()) % 256] += 1
+        return v / np.linalg.norm(v)
+
+    sims = {(a, b): vector(texts[a]) @ vector(texts[b]) for a, b in itertools.combinations(range(9), 2)}
+    want = {k: round(x, 9) for k, x in sims.items() if x >= 0.5}
+    assert min(want.values()) < 0.8 and max(want.values()) >= 0.98
+    got = slate.QUERIES["hashed_embedding_pairs"](spark, str(tmp_path)).collect()
+    assert {(r.a, r.b): round(r.sim, 9) for r in got} == want
