@@ -27,55 +27,55 @@ SMOOTH = 10
 #: Least kept log ratio per n-gram, in millionths.
 LEAST = -250_000
 #: Fixed value: the symbols of the contract.
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = r"[#*$%&|<>]"
 
 
-def bucket(*gram: Column) -> Column:
-    """The n-gram's bucket: the first BITS bits of its 64-bit xxHash."""
-    return F.shiftrightunsigned(F.xxhash64(*gram), 64 - BITS).cast("int")
+def hashed(rows: DataFrame) -> DataFrame:
+    """`rows` with `words` of its `text`, the hashes of unigrams `_h` and of bigrams `_p`."""
+    out = rows.withColumn("words", pinned(words_of(F.col("text"))))
+    out = out.withColumn("_h", pinned(F.transform("words", lambda w: F.xxhash64(w))))
+    return out.withColumn("_p", pinned(_pairs(F.col("words"))))
 
 
-def grams(words: Column) -> Column:
-    """Buckets of all unigrams and bigrams. `words` must be a column: a lambda would make any other expression anew."""
-    pairs = F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: bucket(words[i], w))
-    return F.concat(F.transform(words, lambda w: bucket(w)), pairs)
+def _pairs(items: Column) -> Column:
+    """A hash of each element and its successor; one pass without an index. `items` must be a column: a lambda would make any other expression anew."""
+    size = F.greatest(F.size(items) - 1, F.lit(0))
+    return F.zip_with(F.slice(items, F.lit(1), size), F.slice(items, F.lit(2), size), lambda a, b: F.xxhash64(a, b))
 
 
-def _twins(ranked: Column) -> Column:
-    """Of sorted (hash, place) pairs: each place, and whether a neighbour has the same hash."""
-    same = lambda x, k: F.coalesce(F.get(ranked, k).h == x.h, F.lit(False))
-    return F.transform(ranked, lambda x, k: F.struct(x.i.alias("i"), (same(x, k - 1) | same(x, k + 1)).alias("twice")))
+def bucket(gram: Column) -> Column:
+    """The bucket of a unigram's or bigram's hash: its first BITS bits."""
+    return F.shiftrightunsigned(gram, 64 - BITS).cast("int")
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """`docs` with `words` and the base counts; a narrow stage."""
+    """`docs` with `words`, the hashes of unigrams `_h` and bigrams `_p`, and the base counts; a narrow stage. A window
+    of three words is hashed as its two pairs."""
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    out = docs.withColumn("words", pinned(words_of(F.col("text"))))
-    out = out.withColumn("_hashes", pinned(F.transform("words", lambda w: F.xxhash64(w)))).withColumn("_lines", pinned(lines))
-    three = F.slice("_hashes", F.lit(1), F.greatest(F.size("_hashes") - 2, F.lit(0)))
-    out = out.withColumn("_windows", pinned(F.transform(three, lambda h, i: F.xxhash64(h, F.col("_hashes")[i + 1], F.col("_hashes")[i + 2]))))
+    out = hashed(docs).withColumn("_lines", pinned(F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")))
+    out = out.withColumn("_windows", pinned(_pairs(F.col("_p"))))
     again = F.size(F.array_distinct("_windows")) < F.size("_windows")
     pairs = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     out = out.withColumn("_ranked", pinned(F.when(again, F.sort_array(pairs)).otherwise(F.slice(pairs, 1, 0))))
-    twins = F.filter(_twins(F.col("_ranked")), lambda x: x.twice)
+    same = lambda x, k: F.coalesce(F.get("_ranked", k).h == x.h, F.lit(False))
+    twins = F.filter("_ranked", lambda x, k: same(x, k - 1) | same(x, k + 1))
     repeats = F.size(F.array_distinct(F.flatten(F.transform(twins, lambda x: F.array(x.i, x.i + 1, x.i + 2)))))
     counts = {
         "n_words": F.size("words"),
-        "word_chars": F.length(F.translate(text, BLANKS, "")),
-        "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
+        "word_chars": F.length(F.concat_ws("", "words")),
+        "n_symbols": F.size(F.split(text, SYMBOLS, -1)) - 1,
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": repeats,
     }
-    out = out.withColumns({k: v.cast("long") for k, v in counts.items()}).drop("_hashes", "_lines", "_windows", "_ranked")
+    out = out.withColumns({k: v.cast("long") for k, v in counts.items()}).drop("_lines", "_windows", "_ranked")
     return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def weights(docs: DataFrame, labels: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
     """(b, w): the weight of every bucket that occurs, in millionths."""
     trusted = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id", F.lit(1).alias("good"))
-    rows = docs.select("doc_id", "text").join(sized(trusted, most_broadcast), "doc_id", "left").select(F.coalesce("good", F.lit(0)).alias("good"), pinned(words_of(F.col("text"))).alias("words"))
-    counts = settle(rows.select("good", F.explode(grams(F.col("words"))).alias("b")).groupBy("b").agg(F.sum("good").alias("t"), F.count("*").alias("r")), "ngram-counts")
+    rows = docs.select("doc_id", "text").join(sized(trusted, most_broadcast), "doc_id", "left").select(F.coalesce("good", F.lit(0)).alias("good"), "text")
+    counts = settle(hashed(rows).select("good", F.explode(F.concat("_h", "_p")).alias("g")).select("good", bucket(F.col("g")).alias("b")).groupBy("b").agg(F.sum("good").alias("t"), F.count("*").alias("r")), "ngram-counts")
     t, r = counts.agg(F.sum("t"), F.sum("r")).first()
     if not t:
         return counts.select("b", F.lit(0).cast("long").alias("w"))
@@ -91,7 +91,7 @@ def judge(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, l
     table = weights(corpus if corpus is not None else docs, labels)
     rows = measured(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))).withColumn("text_hash", F.xxhash64("text"))
     base = ["doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    each = rows.select("_row", *base, F.explode_outer(grams(F.col("words"))).alias("b"))
+    each = rows.select("_row", *base, F.explode_outer(F.concat("_h", "_p")).alias("g")).withColumn("b", bucket(F.col("g")))
     hit = each.join(F.broadcast(table), "b", "left")  # at most 2 ** BITS rows
     out = hit.groupBy("_row", *base).agg(F.coalesce(F.sum("w"), F.lit(0)).alias("_sum"), F.greatest(F.count("b"), F.lit(1)).alias("_n"))
     kept = ~F.col("base_failed") & (F.col("_sum") >= F.lit(least) * F.col("_n"))
