@@ -164,6 +164,78 @@ def sum_by(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
+def dealt(packed: DataFrame, buckets: int, by: str = "bucket") -> DataFrame:
+    """`packed` rows dealt out by their bucket, each bucket's rows together: a task takes one bucket after the other
+    from a sorted shuffle, which spills by itself, and never holds its whole partition."""
+    return packed.repartition(buckets, by).sortWithinPartitions(by)
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows (without the bucket, their first column) of one bucket after the other."""
+    at, held = None, []
+    for batch in batches:
+        for k, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+            if k != at:
+                if held:
+                    yield at, held
+                at, held = k, []
+            held.append(tuple(row))
+    if held:
+        yield at, held
+
+
+def bucket_count(spark: SparkSession, size: int, target: int) -> int:
+    """Buckets of about `target` for data of `size` (both in the same unit); at least one a shuffle partition."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // target), 1)
+
+
+def in_buckets(bucket: np.ndarray, *columns) -> Iterator[tuple[int, list[bytes]]]:
+    """The rows of each bucket: the bucket, and what each column's function makes of the rows' places."""
+    order = np.argsort(bucket, kind="stable")
+    there, first = np.unique(bucket[order], return_index=True)
+    for k, a, b in zip(there.tolist(), first, np.append(first[1:], len(order)), strict=True):
+        yield k, [f(order[a:b]) for f in columns]
+
+
+_WIDTHS = (np.uint8, np.uint16, np.uint32, np.uint64)
+
+
+def shrink(x: np.ndarray) -> bytes:
+    """Whole numbers as offsets from the least, in as few bytes each as hold the largest."""
+    if not len(x):
+        return b""
+    x = x.astype(np.int64, copy=False)
+    low = int(x.min())
+    span = int(x.max()) - low
+    kind = next(i for i, t in enumerate(_WIDTHS) if span <= np.iinfo(t).max)
+    rest = (x.view(np.uint64) - np.uint64(low % (1 << 64))).astype(_WIDTHS[kind])
+    return bytes([kind]) + low.to_bytes(8, "little", signed=True) + rest.tobytes()
+
+
+def grow(packed: bytes) -> np.ndarray:
+    """What shrink() packed."""
+    if not packed:
+        return np.zeros(0, np.int64)
+    low = int.from_bytes(packed[1:9], "little", signed=True)
+    return (np.frombuffer(packed, _WIDTHS[packed[0]], offset=9).astype(np.uint64) + np.uint64(low % (1 << 64))).view(np.int64)
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges (a, b), and the least node that each is connected with."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(ids))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        for side in (x, y, label[x], label[y]):
+            np.minimum.at(new, side, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return ids, ids[label]
+        label = new
+
+
 def sized(small: DataFrame, most: int) -> DataFrame:
     """`small`, marked for broadcast only if it was counted to have at most `most` rows; else joins shuffle."""
     return F.broadcast(small) if small.limit(most + 1).count() <= most else small

@@ -26,13 +26,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.llm._base import LOWER, discard, in_bytes, mix, offsets_of, ragged, run_hashes, settle, span_hashes, word_spans
+from siltstone.llm._base import LOWER, bucket_count, by_bucket, dealt, discard, forest, grow, in_buckets, in_bytes, mix, offsets_of, ragged, run_hashes, settle, shrink, span_hashes, word_spans, words_of
 
 SHINGLE = 5
-#: Documents of a family that one task compares at once.
-BLOCK = 4000
+#: Bytes of sets in a block of a family that one task compares at once.
+BLOCK = 4 << 20
+#: Shingles whose signatures make a bucket.
+BUCKET = 4_000_000
+#: Groups of equal sets with more than this part of all rows are known to all tasks.
+COPIES = 1 << 16
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -135,159 +140,207 @@ def _ids(batch: pa.RecordBatch, name: str = "doc_id") -> np.ndarray:
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_bytes(batches):
         sets, offsets = shingle_sets(batch.column("text"))
-        _, owner, below, differ = signatures(sets, offsets)
-        need = needs(owner, below, differ).astype(np.int64)
         a, b = _prints(sets, offsets)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (np.diff(offsets), a, b, need))], names=["doc_id", "n_shingles", "f1", "f2", "need"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (np.diff(offsets), a, b))], names=["doc_id", "n_shingles", "f1", "f2"])
 
 
-def _packed(sig: np.ndarray, doc: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One row a bucket: signatures and document ids as bytes."""
-    to = (sig % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(to, kind="stable")
-    sig, doc, to = sig[order], doc[order], to[order]
-    there, first = np.unique(to, return_index=True)
-    ends = np.append(first[1:], len(to))
-    cut = lambda x: [x[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(cut(sig), pa.binary()), pa.array(cut(doc), pa.binary())], names=["bucket", "sigs", "docs"])
+def _rows(bucket: np.ndarray, *columns) -> pa.RecordBatch:
+    """One row a bucket, each column's bytes made from the places of the bucket's rows."""
+    rows = list(in_buckets(bucket, *columns))
+    parts = [pa.array([cells[i] for _, cells in rows], pa.binary()) for i in range(len(columns))]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), *parts], names=["bucket", *(f"c{i}" for i in range(len(columns)))])
 
 
-_PACKED = "bucket long, sigs binary, docs binary"
+_TWO, _THREE = "bucket long, c0 binary, c1 binary", "bucket long, c0 binary, c1 binary, c2 binary"
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Signatures and documents of each bucket of a partition, sorted by signature."""
-    parts: dict[int, list[tuple[bytes, bytes]]] = {}
-    for batch in batches:
-        for k, s, d in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            parts.setdefault(k, []).append((s, d))
-    for k in list(parts):
-        mine = parts.pop(k)
-        sig = np.frombuffer(b"".join(s for s, _ in mine), np.uint64)
-        doc = np.frombuffer(b"".join(d for _, d in mine), np.int64)
-        doc = doc.reshape(len(sig), -1) if len(doc) > len(sig) else doc
-        order = np.argsort(sig, kind="stable")
-        yield sig[order], doc[order]
+def _modulo(x: np.ndarray, buckets: int) -> np.ndarray:
+    return (x % np.uint64(buckets)).astype(np.int64)
 
 
-def _dealt(packed: DataFrame, buckets: int) -> DataFrame:
-    return packed.repartition(buckets, "bucket")
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal keys starts, and its size."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(new)))
 
 
-def _tally(dealt: DataFrame, buckets: int, count, kind: str, finish) -> DataFrame:
-    """Sums of small vectors by document over all buckets of signatures. `count` gives keys and a row of numbers for
-    each from one bucket; they travel packed by key, one row a pair of buckets, and `finish` makes batches of the sums."""
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig, doc in _unpack(batches):
-            key, rows = count(sig, doc)
-            if len(key):
-                yield _packed(key.view(np.uint64), rows, buckets)
+def _tally(made: DataFrame, buckets: int, name: str) -> DataFrame:
+    """(`name`, histogram as binary, 256 counts of 32 bits trimmed behind the last): sums of packed rows (keys, small classes)."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list[tuple[bytes, bytes]]] = {}
-        for batch in batches:
-            for k, s, d in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                parts.setdefault(k, []).append((s, d))
-        for k in list(parts):
-            mine = parts.pop(k)
-            key = np.frombuffer(b"".join(s for s, _ in mine), np.int64)
-            rows = np.frombuffer(b"".join(d for _, d in mine), np.int64).reshape(len(key), -1)
+        for _, rows in by_bucket(batches):
+            key = np.concatenate([grow(k) for k, _ in rows])
+            kind = np.frombuffer(b"".join(c for _, c in rows), np.uint8).astype(np.int64)
             known, which = np.unique(key, return_inverse=True)
-            sums = np.zeros((len(known), rows.shape[1]), np.int64)
-            np.add.at(sums, which, rows)
-            yield finish(known, sums)
-
-    return dealt.mapInArrow(part, _PACKED).repartition(buckets, "bucket").mapInArrow(whole, kind)
+            width = int(kind.max()) + 1
+            counts = np.bincount(which * width + kind, minlength=len(known) * width).astype("<u4").reshape(-1, width)
+            yield pa.RecordBatch.from_arrays([pa.array(known), pa.array([c.tobytes() for c in counts], pa.binary())], names=[name, "classes"])
 
+    return dealt(made, buckets).mapInArrow(whole, f"{name} long, classes binary")
 
-def _groups(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each run of equal signatures starts, and its size."""
-    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
-    return first, np.diff(np.append(first, len(sig)))
 
-
-def unsettled(docs: DataFrame, facts: DataFrame, buckets: int) -> DataFrame:
-    """Of `facts`, the rows that signatures leave a partner."""
+def shared(rows: DataFrame, buckets: int, sent: Broadcast) -> DataFrame:
+    """(doc_id, times): documents with signatures that others have too, and how many. Of the sets in `sent` (two prints
+    and the document that stands for them) only that document takes part. Signatures travel as 32 bits beside their bucket:
+    two that agree by chance only make a document look shared."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copies = sent.value
         for batch in in_bytes(batches, most=2 << 20):
-            sig, owner, _, _ = signatures(*shingle_sets(batch.column("text")))
-            yield _packed(sig, _ids(batch)[owner], buckets)
-
-    def shared(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        _, size = _groups(sig)
-        who, times = np.unique(doc[np.repeat(size > 1, size)], return_counts=True)
-        return who, times.astype(np.int64)[:, None]
+            ids, (sets, offsets) = _ids(batch), shingle_sets(batch.column("text"))
+            if len(copies[0]):
+                a, b = _prints(sets, offsets)
+                at = np.minimum(np.searchsorted(copies[0], a), len(copies[0]) - 1)
+                out = (copies[0][at] == a) & (copies[1][at] == b) & (copies[2][at] != ids)
+                size = np.where(out, 0, np.diff(offsets))
+                sets, offsets = sets[ragged(offsets[:-1], size)], np.concatenate([[0], np.cumsum(size)])
+            sig, owner, _, _ = signatures(sets, offsets)
+            short, doc = (sig >> np.uint64(32)).astype(np.uint32), ids[owner]
+            yield _rows(_modulo(sig, buckets), lambda r, s=short: s[r].tobytes(), lambda r, d=doc: shrink(d[r]))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in by_bucket(batches):
+            sig = np.frombuffer(b"".join(s for s, _ in rows), np.uint32)
+            doc = np.concatenate([grow(d) for _, d in rows])
+            order = np.argsort(sig, kind="stable")
+            _, size = _groups(sig[order])
+            doc = doc[order][np.repeat(size > 1, size)]
+            if len(doc):
+                yield _rows(_modulo(mix(doc.view(np.uint64)), buckets), lambda r, d=doc: shrink(d[r]), lambda r: bytes(len(r)))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([int.from_bytes(c[:4], "little") for c in batch.column("classes").to_pylist()], pa.int64())], names=["doc_id", "times"])
 
-    finish = lambda known, sums: pa.RecordBatch.from_arrays([pa.array(known), pa.array(sums[:, 0])], names=["doc_id", "times"])
-    packed = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(pack, _PACKED)
-    times = _tally(_dealt(packed, buckets), buckets, shared, "doc_id long, times long", finish)
-    return facts.join(times, "doc_id").where("times >= need").drop("times")
+    packed = rows.where("doc_id is not null").select("doc_id", "text").mapInArrow(pack, _TWO)
+    return _tally(dealt(packed, buckets).mapInArrow(count, _TWO), buckets, "doc_id").mapInArrow(number, "doc_id long, times long")
 
 
-#: Classes of how many documents share a signature: at most 1, 2, 4 and so on.
+#: Classes of how many families share a signature: at most 1, 2, 4 and so on.
 _COSTS = 40
+#: Least-hash values of a sketch, those in a band, and how many of them two sets must share to be taken together at once.
+_SKETCH, _BAND, _ALIKE = 12, 2, 7
 
 
 def _set_signatures(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     raw, offsets = offsets_of(batch.column("items"))
-    sig, owner, below, differ = signatures(np.frombuffer(raw.tobytes(), np.uint64), offsets // 8)
-    return sig, owner, below, differ
+    return signatures(np.frombuffer(raw.tobytes(), np.uint64), offsets // 8)
+
+
+def sketched(sets: DataFrame, buckets: int) -> DataFrame:
+    """(id, component): first families, of sets whose sketches of least hashes agree with that of the first set of a band. At most
+    one edge a set and band. What it misses is found by segments, what it takes too much is parted by the search; it only keeps
+    the segments of copies from being paired again and again."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_bytes(batches, "items", most=4 << 20):
+            raw, offsets = offsets_of(batch.column("items"))
+            items, node = np.frombuffer(raw.tobytes(), np.uint64), _ids(batch, "node")
+            least = np.stack([np.minimum.reduceat(mix(items + np.uint64(0x9E37 * (k + 1))), offsets[:-1] // 8) for k in range(_SKETCH)], axis=1)
+            keys = np.concatenate([mix(least[:, k] ^ mix(least[:, k + 1] + np.uint64(k))) for k in range(0, _SKETCH, _BAND)])
+            who = np.tile(np.arange(len(node)), _SKETCH // _BAND)
+            small = (least >> np.uint64(32)).astype(np.uint32)
+            yield _rows(_modulo(keys, buckets), lambda r, k=keys: k[r].tobytes(), lambda r, w=who, n=node: shrink(n[w[r]]), lambda r, w=who, s=small: s[w[r]].tobytes())
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in by_bucket(batches):
+            key = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
+            node = np.concatenate([grow(r[1]) for r in rows])
+            sketch = np.frombuffer(b"".join(r[2] for r in rows), np.uint32).reshape(-1, _SKETCH)
+            order = np.lexsort((node, key))
+            key, node, sketch = key[order], node[order], sketch[order]
+            first, size = _groups(key)
+            lead = np.repeat(first, size)
+            alike = ((sketch == sketch[lead]).sum(axis=1) >= _ALIKE) & (node != node[lead])
+            ids, root = forest(node[lead][alike], node[alike])
+            yield pa.RecordBatch.from_arrays([pa.array(root[ids != root]), pa.array(ids[ids != root])], names=["a", "b"])
+
+    packed = sets.select("node", "items").where("length(items) > 0").mapInArrow(pack, _THREE)
+    return components(dealt(packed, buckets).mapInArrow(near, "a long, b long"))
 
 
 def families(sets: DataFrame, buckets: int) -> DataFrame:
-    """(node, family) of sets that share a signature which one of them needs. A document whose rows have several
-    texts has several sets, each with its own costs and need.
+    """(node, family) of all sets: sets of one sketched family, or that share a signature which one of them needs, are
+    in one family. A document whose rows have several texts has several sets, each with its own costs and need.
 
-    Allocation by cost: a document needs H + 1 of its segments in each scheme and takes those that the
-    fewest documents share, so a passage that many documents have joins only documents that consist of such."""
+    Allocation by cost: a document needs H + 1 of its segments in each scheme and takes those that the fewest families
+    share, so a passage that many documents have joins only documents that consist of such, and segments that only its own
+    family has cost nothing. Costs travel as one byte for each segment that another family has."""
+    named = sketched(sets, buckets).select(F.col("id").alias("node"), F.col("component").alias("label"))
+    sets = settle(sets.select("node", "items").join(named, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled-sets")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "items", most=4 << 20):
-            sig, owner, below, differ = _set_signatures(batch)
+            sig, owner, below, _ = _set_signatures(batch)
             sig, owner, below = sig[below < 2], owner[below < 2], below[below < 2]
-            yield _packed(sig, np.stack([_ids(batch, "node")[owner] * 2 + below, differ[owner, below] + 1], axis=1), buckets)
-
-    def costs(sig: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        _, size = _groups(sig)
-        cost = np.ceil(np.log2(np.repeat(size, size))).astype(np.int64)
-        known, which = np.unique(rows[:, 0], return_inverse=True)
-        out = np.zeros((len(known), _COSTS + 2), np.int64)
-        np.add.at(out, (which, cost), 1)
-        out[which, _COSTS] = rows[:, 1]
-        out[:, _COSTS + 1] = 1
-        return known, out
-
-    def limits(known: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-        need = sums[:, _COSTS] // sums[:, _COSTS + 1]  # the same number came from every bucket
-        enough = np.cumsum(sums[:, :_COSTS], axis=1) >= need[:, None]
-        limit = np.where(enough.any(axis=1), enough.argmax(axis=1), _COSTS)
-        return pa.RecordBatch.from_arrays([pa.array(known >> 1), pa.array(known & 1), pa.array(limit)], names=["node", "below", "cost"])
-
-    dealt = _dealt(sets.select("node", "items").mapInArrow(pack, _PACKED), buckets)
-    found = _tally(dealt, buckets, costs, "node long, below long, cost long", limits).groupBy("node").agg(F.max(F.when(F.col("below") == 0, F.col("cost"))).alias("c0"), F.max(F.when(F.col("below") == 1, F.col("cost"))).alias("c1"))
-    open_ = settle(sets.join(found.where("c0 > 0 or c1 > 0").select("node", F.coalesce("c0", F.lit(0)).alias("c0"), F.coalesce("c1", F.lit(0)).alias("c1")), "node"), "open-sets")
+            node, label = _ids(batch, "node")[owner] * 2 + below, _ids(batch, "label")[owner]
+            yield _rows(_modulo(sig, buckets), lambda r, s=sig: s[r].tobytes(), lambda r, n=node: shrink(n[r]), lambda r, x=label: shrink(x[r]))
+
+    def opened(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted signatures, nodes, labels, the starts of groups, and each row's cost."""
+        sig = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
+        node, label = (np.concatenate([grow(r[k]) for r in rows]) for k in (1, 2))
+        order = np.lexsort((label, sig))
+        sig, node, label = sig[order], node[order], label[order]
+        first, size = _groups(sig)
+        kinds = np.zeros(len(sig), np.int64)
+        kinds[_groups(sig, label)[0]] = 1
+        many = np.add.reduceat(kinds, first) if len(first) else kinds
+        return sig, node, label, first, np.repeat(np.ceil(np.log2(np.maximum(many, 1))).astype(np.int64), size)
+
+    def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in by_bucket(batches):
+            _, node, _, _, cost = opened(rows)
+            node, cost = node[cost > 0], cost[cost > 0].astype(np.uint8)
+            if len(node):
+                yield _rows(_modulo(mix((node >> 1).view(np.uint64)), buckets), lambda r, n=node: shrink(n[r]), lambda r, c=cost: c[r].tobytes())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "items", most=4 << 20):
-            sig, owner, below, _ = _set_signatures(batch)
-            cost = np.stack([batch.column("c0").to_numpy(), batch.column("c1").to_numpy()], axis=1).astype(np.int64)
-            yield _packed(sig, np.stack([_ids(batch, "node")[owner], cost[owner, below & 1]], axis=1), buckets)
+            sig, owner, below, differ = _set_signatures(batch)
+            filled = np.stack([np.bincount(owner[below == k], minlength=batch.num_rows) for k in (0, 1)], axis=1)
+            limit = np.zeros((batch.num_rows, 2), np.int64)
+            for k, name in enumerate(("k0", "k1")):
+                spent = [np.frombuffer(c or b"", "<u4").astype(np.int64) for c in batch.column(name).to_pylist()]
+                hist = np.zeros((batch.num_rows, _COSTS), np.int64)
+                for i, c in enumerate(spent):
+                    hist[i, : len(c)] = c
+                hist[:, 0] = filled[:, k] - hist.sum(axis=1)
+                enough = np.cumsum(hist, axis=1) >= differ[:, [k]] + 1
+                limit[:, k] = np.where(enough.any(axis=1), enough.argmax(axis=1), _COSTS)
+            live = (limit.max(axis=1) > 0)[owner]
+            sig, owner, below = sig[live], owner[live], below[live]
+            label, want = _ids(batch, "label")[owner], limit[owner, below & 1]
+            if len(sig):
+                yield _rows(_modulo(sig, buckets), lambda r, s=sig: s[r].tobytes(), lambda r, w=want: shrink(w[r]), lambda r, x=label: shrink(x[r]))
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig, rows in _unpack(batches):
-            first, size = _groups(sig)
+        for _, rows in by_bucket(batches):
+            _, limit, label, first, cost = opened(rows)
             if not len(first):
                 continue
-            doc = rows[:, 0]
-            wanted = np.maximum.reduceat(rows[:, 1], first) >= np.ceil(np.log2(size))
-            low = np.repeat(np.minimum.reduceat(doc, first), size)
-            edges = np.unique(np.stack([low, doc], axis=1)[(low != doc) & np.repeat(wanted, size)], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
-
-    edges = _dealt(open_.mapInArrow(send, _PACKED), buckets).mapInArrow(stars, "a long, b long").distinct()
-    return components(edges).withColumnRenamed("component", "family").withColumnRenamed("id", "node")
+            size = np.diff(np.append(first, len(label)))
+            wanted = np.repeat(np.maximum.reduceat(limit, first), size) >= cost
+            low = np.repeat(label[first], size)  # sorted, so the least
+            ids, root = forest(low[wanted & (low != label)], label[wanted & (low != label)])
+            ids, root = ids[ids != root], root[ids != root]
+            if len(ids):
+                yield _rows(_modulo(mix(ids.view(np.uint64)), buckets), lambda r, x=root: shrink(x[r]), lambda r, x=ids: shrink(x[r]))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in by_bucket(batches):
+            ids, root = forest(*(np.concatenate([grow(r[k]) for r in rows]) for k in (0, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(root[ids != root]), pa.array(ids[ids != root])], names=["a", "b"])
+
+    spent = _tally(dealt(sets.mapInArrow(pack, _THREE), buckets).mapInArrow(costs, _TWO), buckets, "key")
+    spent = spent.groupBy(F.shiftright("key", 1).alias("node")).agg(F.max(F.when(F.col("key") % 2 == 0, F.col("classes"))).alias("k0"), F.max(F.when(F.col("key") % 2 != 0, F.col("classes"))).alias("k1"))
+    asked = sets.join(spent, "node", "left").select("node", "items", "label", "k0", "k1").mapInArrow(send, _THREE)
+    edges = dealt(dealt(asked, buckets).mapInArrow(stars, _TWO), buckets).mapInArrow(joined, "a long, b long")
+    more = components(edges).select(F.col("id").alias("label"), "component")
+    return settle(sets.select("node", "label").join(more, "label", "left").select("node", F.coalesce("component", "label").alias("family")), "families")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -351,52 +404,130 @@ def search(items: list[np.ndarray]) -> np.ndarray:
 
 
 def linked(sets: DataFrame, grouped: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect each family as its links do."""
-    sized = grouped.groupBy("family").count().withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-    rows = grouped.join(sized, "family").join(sets.select("node", "doc_id", "items"), "node")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    rows = rows.withColumn("block", block).withColumn("other", F.explode(other))
-    rows = rows.select("family", "node", "doc_id", "items", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    """Edges (a, b) of documents that connect each family as its links do. A family beyond BLOCK bytes is cut into blocks by
+    hash; each is searched together with the first, which joins nearly all of a family of near copies. Only documents
+    outside its largest component are then compared with every block, so work grows with the family, not its square."""
+    heavy = grouped.join(sets.select("node", "doc_id", F.length("items").alias("size")), "node")
+    total = heavy.groupBy("family").agg(F.count("*").alias("n"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")).where("n > 1").drop("n")
+    placed = heavy.join(total, "family").select("family", "node", "doc_id", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+    placed = settle(placed, "placed-sets")
+    with_items = lambda rows: rows.join(sets.select("node", "items"), "node")
+    first = (F.col("block") == 0) & (F.col("blocks") > 1)
+    turns = F.when(first, F.sequence(F.lit(1), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("block"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "node"], ignore_index=True)
-        items = [np.frombuffer(x, np.uint64) for x in pdf["items"]]
-        root = search(items)
+        root = search([np.frombuffer(x, np.uint64) for x in pdf["items"]])
         ids = pdf["doc_id"].to_numpy()
         return pd.DataFrame({"a": ids[root], "b": ids})[root != np.arange(len(ids))]
 
-    return rows.groupBy("family", "i", "j").applyInPandas(run, "a long, b long")
+    rows = with_items(placed.select("family", "node", "doc_id", F.explode(turns).alias("turn")))
+    edges = settle(rows.groupBy("family", "turn").applyInPandas(run, "a long, b long"), "links")
+    large = placed.where("blocks > 1")
+    if large.isEmpty():
+        return edges
+    labels = components(edges).select(F.col("id").alias("doc_id"), "component")
+    large = large.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    large = settle(large, "large-families")
+    most = large.groupBy("family", "component").agg(F.count("*").alias("n")).groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("most"))
+    rest = large.join(most, "family").where("component != most").drop("most")
+    parts = rest.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("parts"))
+    if parts.isEmpty():
+        return edges
+    span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    columns = ["family", "node", "doc_id", "component", "part", "turn", "own"]
+    asking = rest.join(parts, "family").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int")).withColumn("turn", F.explode(span("blocks"))).withColumn("own", F.lit(True)).select(*columns)
+    against = large.join(parts, "family").withColumn("part", F.explode(span("parts"))).withColumn("turn", F.col("block")).withColumn("own", F.lit(False)).select(*columns)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        asks, others = pdf[pdf["own"]], pdf[~pdf["own"]]
+        found = between([np.frombuffer(x, np.uint64) for x in asks["items"]], [np.frombuffer(x, np.uint64) for x in others["items"]], asks["component"].to_numpy(), others["component"].to_numpy())
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    more = with_items(asking.union(against)).groupBy("family", "part", "turn").applyInPandas(compare, "a long, b long")
+    return edges.union(settle(more, "links"))
+
+
+def between(asks: list[np.ndarray], others: list[np.ndarray], own: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """The pairs of components that a link between a set of `asks` and one of `others` connects."""
+    size = np.array([len(x) for x in others], np.int64)
+    flat = np.concatenate(others) if len(others) else np.zeros(0, np.uint64)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], np.repeat(np.arange(len(others)), size)[order]
+    found = set()
+    for x, mine in zip(asks, own.tolist(), strict=True):
+        a, b = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+        near = row[ragged(a, b - a)]
+        common = np.bincount(near, minlength=len(others))
+        at = np.flatnonzero(common)
+        link = at[100 * common[at] >= 75 * (len(x) + size[at] - common[at])]
+        found |= {(mine, c) for c in np.unique(theirs[link]).tolist() if c != mine}
+    return np.array(sorted(found), np.int64).reshape(-1, 2)
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of `docs`."""
+    """(doc_id, n_shingles, component_id) of every row of `docs`.
+
+    Equal sets are one group, known by their size and two 64-bit prints; one document stands for it. Groups with more than one in COPIES of
+    all rows, at most COPIES of them, are sent to all tasks, so their rows neither send signatures nor meet in one task."""
     spark = docs.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = settle(rows.mapInArrow(_measure, "doc_id long, n_shingles long, f1 long, f2 long, need long"), "shingle-facts")
-    open_ = settle(unsettled(rows, facts, buckets), "unsettled")
-    least = open_.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    members = settle(open_.join(least, ["n_shingles", "f1", "f2"]).select("doc_id", "rep").distinct(), "equal-sets")
+    facts = settle(rows.mapInArrow(_measure, "doc_id long, n_shingles long, f1 long, f2 long"), "shingle-facts")
+    total, shingles = facts.agg(F.count("*"), F.sum("n_shingles")).first()
+    buckets = bucket_count(spark, shingles or 0, BUCKET)
+    key = ["n_shingles", "f1", "f2"]
+    some = facts.where("doc_id is not null and n_shingles > 0")
+    groups = settle(some.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "equal-sets")
+    large = groups.where(F.col("n") >= max(2, -(-total // COPIES)))  # at most COPIES groups
+    listed = sorted((r.f1, r.f2, r.rep) for r in large.select("f1", "f2", "rep").collect())
+    copies = tuple(np.array([x[i] for x in listed], np.int64) for i in range(3))
+    sent = spark.sparkContext.broadcast(copies)
+    times = settle(shared(rows, buckets, sent), "shared-signatures")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches):
             sets, offsets = shingle_sets(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([sets[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)], pa.binary())], names=["doc_id", "items"])
-
-    reps = members.select(F.col("rep").alias("doc_id")).distinct()
-    own = rows.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])  # repeated rows are one set
-    sets = settle(own.mapInArrow(build, "doc_id long, items binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
-    grouped = families(sets, buckets)
-    edges = linked(sets, grouped).union(members.where("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
-    labels = components(edges)
-    return facts.join(labels, facts.doc_id == labels.id, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+            _, owner, below, differ = signatures(sets, offsets)
+            open_ = (np.diff(offsets) > 0) & (batch.column("times").to_numpy() >= needs(owner, below, differ))
+            items = [sets[a:b].tobytes() for a, b in zip(offsets[:-1][open_], offsets[1:][open_], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(_ids(batch)[open_]), pa.array(items, pa.binary())], names=["doc_id", "items"])
+
+    reps = times.join(groups.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    own = rows.join(reps, "doc_id").dropDuplicates(["doc_id", "text"])  # repeated rows are one set
+    sets = settle(own.select("doc_id", "text", "times").mapInArrow(build, "doc_id long, items binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
+    edges = linked(sets, families(sets, buckets))
+
+    several = some.groupBy("doc_id").agg(F.count_distinct(*key).alias("k"), F.count("*").alias("n")).where("n > 1")  # documents of several rows
+    many = several
+    ties = some.join(many.where("k > 1").select("doc_id"), "doc_id").join(groups, key).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
+    labels = components(edges.union(ties)).select(F.col("id").alias("rep"), "component")
+    named = groups.join(labels, "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"), "n")
+    named = settle(named, "named-sets")
+    hot = F.broadcast(named.where(F.col("n") >= max(2, -(-total // COPIES))).select(*key, F.col("component").alias("hot")))  # at most COPIES rows
+    out = facts.join(hot, key, "left")
+    rest = out.where("hot is null").join(named.select(*key, "component"), key, "left")
+    out = out.where("hot is not null").withColumn("component", F.col("hot")).unionByName(rest)
+    out = out.withColumn("component", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component")))
+    blank = facts.where("doc_id is not null and n_shingles = 0").join(some.select("doc_id").distinct(), "doc_id", "left_semi")
+    if not blank.isEmpty():  # a document with blank rows beside others
+        other = out.where("component is not null").join(blank.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component").alias("own"))
+        out = out.join(other, "doc_id", "left").withColumn("component", F.coalesce("component", "own"))
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` with one document of each component, its smallest doc_id; rows with a null doc_id stay."""
-    gone = classes(docs).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of `docs` with one document of each component, its smallest doc_id, and one of its rows with equal texts; rows with a
+    null doc_id or without a word stay."""
+    found = classes(docs)
+    gone = found.where("doc_id != component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    worded = F.size(words_of(F.col("text"))) > 0
+    some = kept.join(again, "doc_id", "left_semi").select(*docs.columns)
+    once = some.where(worded).dropDuplicates(["doc_id", "text"]).unionByName(some.where(~worded))
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def op6(docs: DataFrame) -> DataFrame:
