@@ -21,7 +21,7 @@ links with nothing; rows of one doc_id are one node and share its component; ext
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -167,19 +167,26 @@ def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(new)))
 
 
-def _tally(made: DataFrame, buckets: int, name: str) -> DataFrame:
-    """(`name`, histogram as binary, 256 counts of 32 bits trimmed behind the last): sums of packed rows (keys, small classes)."""
+def _classes(known: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(known), pa.array([c.tobytes() for c in counts], pa.binary())], names=["key", "classes"])
+
+
+def _times(known: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(known), pa.array(counts[:, 0], pa.int64())], names=["doc_id", "times"])
+
+
+def _tally(made: DataFrame, buckets: int, finish: Callable[[np.ndarray, np.ndarray], pa.RecordBatch], kind: str) -> DataFrame:
+    """What `finish` makes of the keys of packed rows (keys, small classes) and each key's count of every class."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_bucket(batches):
             key = np.concatenate([grow(k) for k, _ in rows])
-            kind = np.frombuffer(b"".join(c for _, c in rows), np.uint8).astype(np.int64)
+            small = np.frombuffer(b"".join(c for _, c in rows), np.uint8).astype(np.int64)
             known, which = np.unique(key, return_inverse=True)
-            width = int(kind.max()) + 1
-            counts = np.bincount(which * width + kind, minlength=len(known) * width).astype("<u4").reshape(-1, width)
-            yield pa.RecordBatch.from_arrays([pa.array(known), pa.array([c.tobytes() for c in counts], pa.binary())], names=[name, "classes"])
+            width = int(small.max()) + 1
+            yield finish(known, np.bincount(which * width + small, minlength=len(known) * width).astype("<u4").reshape(-1, width))
 
-    return dealt(made, buckets).mapInArrow(whole, f"{name} long, classes binary")
+    return dealt(made, buckets).mapInArrow(whole, kind)
 
 
 def shared(rows: DataFrame, buckets: int, sent: Broadcast) -> DataFrame:
@@ -211,12 +218,8 @@ def shared(rows: DataFrame, buckets: int, sent: Broadcast) -> DataFrame:
             if len(doc):
                 yield _rows(_modulo(mix(doc.view(np.uint64)), buckets), lambda r, d=doc: shrink(d[r]), lambda r: bytes(len(r)))
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([int.from_bytes(c[:4], "little") for c in batch.column("classes").to_pylist()], pa.int64())], names=["doc_id", "times"])
-
     packed = rows.where("doc_id is not null").select("doc_id", "text").mapInArrow(pack, _TWO)
-    return _tally(dealt(packed, buckets).mapInArrow(count, _TWO), buckets, "doc_id").mapInArrow(number, "doc_id long, times long")
+    return _tally(dealt(packed, buckets).mapInArrow(count, _TWO), buckets, _times, "doc_id long, times long")
 
 
 #: Classes of how many families share a signature: at most 1, 2, 4 and so on.
@@ -335,7 +338,7 @@ def families(sets: DataFrame, buckets: int) -> DataFrame:
             ids, root = forest(*(np.concatenate([grow(r[k]) for r in rows]) for k in (0, 1)))
             yield pa.RecordBatch.from_arrays([pa.array(root[ids != root]), pa.array(ids[ids != root])], names=["a", "b"])
 
-    spent = _tally(dealt(sets.mapInArrow(pack, _THREE), buckets).mapInArrow(costs, _TWO), buckets, "key")
+    spent = _tally(dealt(sets.mapInArrow(pack, _THREE), buckets).mapInArrow(costs, _TWO), buckets, _classes, "key long, classes binary")
     spent = spent.groupBy(F.shiftright("key", 1).alias("node")).agg(F.max(F.when(F.col("key") % 2 == 0, F.col("classes"))).alias("k0"), F.max(F.when(F.col("key") % 2 != 0, F.col("classes"))).alias("k1"))
     asked = sets.join(spent, "node", "left").select("node", "items", "label", "k0", "k1").mapInArrow(send, _THREE)
     edges = dealt(dealt(asked, buckets).mapInArrow(stars, _TWO), buckets).mapInArrow(joined, "a long, b long")
