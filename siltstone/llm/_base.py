@@ -191,6 +191,8 @@ def bucket_count(spark: SparkSession, size: int, target: int) -> int:
 
 def in_buckets(bucket: np.ndarray, *columns) -> Iterator[tuple[int, list[bytes]]]:
     """The rows of each bucket: the bucket, and what each column's function makes of the rows' places."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     there, first = np.unique(bucket[order], return_index=True)
     for k, a, b in zip(there.tolist(), first, np.append(first[1:], len(order)), strict=True):

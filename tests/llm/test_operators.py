@@ -292,28 +292,117 @@ def test_context_mixing(spark, docs):
     assert context_mixing.op10(docs.limit(0)).count() == 0
 
 
-def test_code_and_stream():
-    assert abs(sum(2.0 ** -int(n) for n in context_mixing.LENGTHS) - 1) < 1e-12
-    raw, starts, ends, offsets = context_mixing._parse(pa.array(["A  b", None, " c "]))
-    symbols, places, edges = context_mixing.stream(raw, starts, ends, offsets)
-    assert [bytes(symbols[places[a:b]]) for a, b in zip(edges, edges[1:], strict=False)] == [b"a b\0", b"\0", b"c\0"]
-
-
-def test_every_order_predicts():
-    """Places after the same 1, 2, 3 or 5 bytes share one more slot each; an order 1 model backs the others off."""
-    raw, starts, ends, offsets = context_mixing._parse(pa.array(["vwxyzq", "11111zq", "1111yzq", "111xyzq", "1vwxyzq"]))
-    symbols, places, edges = context_mixing.stream(raw, starts, ends, offsets)
-    slot, _, size = context_mixing.slots(symbols, places)
-    first = np.concatenate([[0], np.cumsum(size)])
-    at = [slot[:, first[b - 2]] for b in edges[1:]]  # the q before the end mark
-    assert [int((at[0] == x).sum()) for x in at] == [4, 1, 2, 3, 4]
+def _lm_words(*texts):
+    """The frequent words of texts, all of them, and the tokens of `texts`."""
+    t = context_mixing.tokens(pa.array(texts))
+    known, n = np.unique(t.hashes, return_counts=True)
+    return context_mixing.Words.of(known, n, 1, 1), t
+
+
+def test_codes_are_complete_prefix_codes():
+    for lengths, codes in (context_mixing.prefix_code(np.array([5, 1, 1, 9, 2.0])), (context_mixing.BYTE_LENGTHS, context_mixing.BYTE_CODES)):
+        assert abs(sum(2.0 ** -int(n) for n in lengths) - 1) < 1e-12
+        written = [format(int(c), f"0{n}b") for n, c in zip(lengths, codes, strict=True)]
+        assert not any(i != j and y.startswith(x) for i, x in enumerate(written) for j, y in enumerate(written))
+
+
+def test_bits_spell_the_text_back():
+    """Frequent words are one symbol, others an escape and their bytes; the bits of each text decode to it."""
+    words, _ = _lm_words("a b a", "b a")
+    t = context_mixing.tokens(pa.array(["A  q7", None, " b "]))
+    got = context_mixing.bits(t, words)
+    code = lambda lengths, codes: {format(int(c), f"0{n}b"): i for i, (n, c) in enumerate(zip(lengths, codes, strict=True))}
+    symbol, letter = code(words.lengths, words.codes), code(context_mixing.BYTE_LENGTHS, context_mixing.BYTE_CODES)
+    rank = {x: int(words.ranks[words.find(context_mixing.tokens(pa.array([x])).hashes[:1])[0][0]]) for x in "ab"}
+    end, escape = len(words.lengths) - 2, len(words.lengths) - 1
+
+    def read(bits, table):
+        out, now = [], ""
+        for bit in bits:
+            now += str(bit)
+            if now in table:
+                out.append(table[now])
+                now = ""
+        assert not now
+        return out
+
+    spelled = got.gates // context_mixing.SEEN // context_mixing.HELD == 1
+    sides = [(read(got.bits[(got.docs == i) & ~spelled], symbol), bytes(read(got.bits[(got.docs == i) & spelled], letter))) for i in range(3)]
+    assert sides == [([rank["a"], escape, end], b"q7 "), ([end], b""), ([rank["b"], end], b"")]
+
+
+def test_every_context_predicts():
+    """After the same word a word shares its high slots, after any word its low ones; a spelled byte shares them after two and four bytes."""
+    words, _ = _lm_words("x y z x y z")
+    t = context_mixing.tokens(pa.array(["x z", "y z", "x x z"]))
+    got = context_mixing.bits(t, words)
+    n = words.lengths[words.ranks[words.find(t.hashes[1:2])[0][0]]]
+    last = [got.slots[:, got.docs == i][:, -int(n + words.lengths[-2]) : -int(words.lengths[-2])] for i in range(3)]
+    assert (last[0][0] == last[1][0]).all() and (last[0][0] == last[2][0]).all()
+    assert (last[0][1] == last[2][1]).all() and (last[0][1] != last[1][1]).any()
+    t = context_mixing.tokens(pa.array(["abcdq", "bbcdq", "aacdq"]))
+    got = context_mixing.bits(t, words)
+    n = context_mixing.BYTE_LENGTHS[ord("q")]
+    rows = [got.slots[:, (got.docs == i)] for i in range(3)]
+    end = context_mixing.BYTE_LENGTHS[32]
+    q = [r[:, -int(n + end) : -int(end)] for r in rows]
+    assert (q[0][0] == q[1][0]).all() and (q[0][0] == q[2][0]).all() and (q[0][1] != q[1][1]).any()
+
+
+def test_matches_are_the_corpus_continuations(spark):
+    """What follows an anchor seen twice is predicted, nearest anchor first; the gate knows how long it has held."""
+    text = " ".join(f"w{i}" for i in range(60))
+    t = context_mixing.tokens(pa.array([text, "w1 w2 w3 else"]))
+    at, found, doc = context_mixing.anchors(t)
+    assert ((t.offsets[doc] + 3 <= at) & (at < t.offsets[doc + 1])).all() and 1 <= len(at) < 20
+    guess = context_mixing.guesses(t, at, context_mixing.following(t, at, doc))
+    want = t.hashes.astype(np.uint32) | np.uint32(1)
+    assert (guess[guess != 0] == want[guess != 0]).all() and (guess != 0).sum() >= len(at)
+    words, _ = _lm_words(text, text)
+    told = context_mixing.bits(t, words, guess)
+    said = told.match != 0
+    assert said.any() and ((told.match[said] > 0) == (told.bits[said] == 1)).all() and (told.gates[said] >= context_mixing.SEEN).all()
+    docs = frame(spark, [(i, text if i in (3, 4) else f"other words {i} " * 5, None, None, None) for i in range(12)])
+    score = {r.doc_id: r.score / r.n_tokens for r in context_mixing.op10(docs).collect()}
+    alone = frame(spark, [(i, text if i == 3 else f"other words {i} " * 5, None, None, None) for i in range(12)])
+    assert score[3] == score[4] > {r.doc_id: r.score / r.n_tokens for r in context_mixing.op10(alone).collect()}[3]
+
+
+def test_scores_do_not_depend_on_partitions(spark, docs):
+    one, seven = ({(r.doc_id, r.score) for r in context_mixing.op10(docs.repartition(n)).collect()} for n in (1, 7))
+    assert one == seven
+
+
+def test_mixer_against_plain_arithmetic():
+    """Mixing, one step of learning and the cost of a bit, each by hand for every bit."""
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 9, (context_mixing.TABLES, 1 << context_mixing.BITS, 2)).astype(np.float32)
+    words, t = _lm_words("a b c a b c q", "c b a")
+    b = context_mixing.bits(t, words)
+    mixer = context_mixing.Mixer.of(counts)
+    odds, gate = mixer.inputs(b)
+    start = mixer.weights.astype(np.float64).copy()
+    mixer.learn(odds, gate, b.bits, rate=0.3)
+    step = np.zeros_like(start)
+    for j in range(len(b.bits)):
+        x = [math.log((counts[k, b.slots[k, j], 1] + 0.4) / (counts[k, b.slots[k, j], 0] + 0.4)) for k in range(2)] + [4.0 * b.match[j]]
+        assert np.allclose(x, odds[:, j], atol=2e-3)
+        level = sum(counts[1, b.slots[1, j]].sum() >= e for e in (1, 4, 32))
+        assert gate[j] == b.gates[j] + level
+        p = 1 / (1 + math.exp(-sum(w * v for w, v in zip(start[gate[j]], x, strict=True))))
+        step[gate[j]] += [(b.bits[j] - p) * v for v in x]
+    n = np.maximum(np.bincount(gate, minlength=len(start)), 200)[:, None]
+    assert np.allclose(mixer.weights, start + 0.3 * step / n, atol=2e-4)
+    costs = mixer.settle().costs(odds, gate, b.bits)
+    other = mixer.costs(odds, gate, 1 - b.bits)
+    assert np.allclose(10.0**costs + 10.0**other, 1, atol=1e-5)
 
 
 def test_counts_outlive_the_words_sent_on():
-    """The last batch of a task sends its words on; its contexts and weights must come all the same."""
-    batch = pa.RecordBatch.from_pydict({"text": pa.array(["a b c d e", "f g h"])})
+    """The last batch of a task sends its words on; its anchors must come all the same."""
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["a b c d e " * 9, "f g h"])})
     kinds = lambda most: [k for out in context_mixing.gather(iter([batch]), 1, most) for k in out.column("kind").to_pylist()]
-    assert kinds(3) == [0, 1, 3] and kinds(100) == [0, 1, 3]
+    assert kinds(3) == kinds(100) == [0, 1]
 
 
 def test_ngram_join_of_repeated_rows(spark):
