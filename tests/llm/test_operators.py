@@ -306,6 +306,11 @@ def test_codes_are_complete_prefix_codes():
         assert not any(i != j and y.startswith(x) for i, x in enumerate(written) for j, y in enumerate(written))
 
 
+def _lm_docs(got):
+    """The text of every bit."""
+    return np.repeat(got.docs, np.diff(np.append(got.first, len(got.bits))))
+
+
 def test_bits_spell_the_text_back():
     """Frequent words are one symbol, others an escape and their bytes; the bits of each text decode to it."""
     words, _ = _lm_words("a b a", "b a")
@@ -326,8 +331,8 @@ def test_bits_spell_the_text_back():
         assert not now
         return out
 
-    spelled = got.gates // context_mixing.SEEN // context_mixing.HELD == 1
-    sides = [(read(got.bits[(got.docs == i) & ~spelled], symbol), bytes(read(got.bits[(got.docs == i) & spelled], letter))) for i in range(3)]
+    spelled, doc = got.gates // context_mixing.SEEN // context_mixing.HELD == 1, _lm_docs(got)
+    sides = [(read(got.bits[(doc == i) & ~spelled], symbol), bytes(read(got.bits[(doc == i) & spelled], letter))) for i in range(3)]
     assert sides == [([rank["a"], escape, end], b"q7 "), ([end], b""), ([rank["b"], end], b"")]
 
 
@@ -337,13 +342,13 @@ def test_every_context_predicts():
     t = context_mixing.tokens(pa.array(["x z", "y z", "x x z"]))
     got = context_mixing.bits(t, words)
     n = words.lengths[words.ranks[words.find(t.hashes[1:2])[0][0]]]
-    last = [got.slots[:, got.docs == i][:, -int(n + words.lengths[-2]) : -int(words.lengths[-2])] for i in range(3)]
+    last = [np.stack(got.slots)[:, _lm_docs(got) == i][:, -int(n + words.lengths[-2]) : -int(words.lengths[-2])] for i in range(3)]
     assert (last[0][0] == last[1][0]).all() and (last[0][0] == last[2][0]).all()
     assert (last[0][1] == last[2][1]).all() and (last[0][1] != last[1][1]).any()
     t = context_mixing.tokens(pa.array(["abcdq", "bbcdq", "aacdq"]))
     got = context_mixing.bits(t, words)
     n = context_mixing.BYTE_LENGTHS[ord("q")]
-    rows = [got.slots[:, (got.docs == i)] for i in range(3)]
+    rows = [np.stack(got.slots)[:, _lm_docs(got) == i] for i in range(3)]
     end = context_mixing.BYTE_LENGTHS[32]
     q = [r[:, -int(n + end) : -int(end)] for r in rows]
     assert (q[0][0] == q[1][0]).all() and (q[0][0] == q[2][0]).all() and (q[0][1] != q[1][1]).any()
@@ -385,9 +390,9 @@ def test_mixer_against_plain_arithmetic():
     mixer.learn(odds, gate, b.bits, rate=0.3)
     step = np.zeros_like(start)
     for j in range(len(b.bits)):
-        x = [math.log((counts[k, b.slots[k, j], 1] + 0.4) / (counts[k, b.slots[k, j], 0] + 0.4)) for k in range(2)] + [4.0 * b.match[j]]
+        x = [math.log((counts[k, b.slots[k][j], 1] + 0.4) / (counts[k, b.slots[k][j], 0] + 0.4)) for k in range(2)] + [4.0 * b.match[j]]
         assert np.allclose(x, odds[:, j], atol=2e-3)
-        level = sum(counts[1, b.slots[1, j]].sum() >= e for e in (1, 4, 32))
+        level = sum(counts[1, b.slots[1][j]].sum() >= e for e in (1, 4, 32))
         assert gate[j] == b.gates[j] + level
         p = 1 / (1 + math.exp(-sum(w * v for w, v in zip(start[gate[j]], x, strict=True))))
         step[gate[j]] += [(b.bits[j] - p) * v for v in x]
