@@ -1,11 +1,14 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
-A text is cut after every word except those whose hash has its low `bits` bits zero, so equal passages
-are cut alike wherever they stand; on prose of mostly rare words, short chunks recur most. Each distinct chunk is encoded once and kept in a bounded cache of the task;
-a text's ids are its chunks' ids, joined. A join is kept only in exact agreement with encoding across
-it: where the tokenizer provably drops white space, a cut at white space agrees; with any other
-tokenizer, or at any other cut, the two sides are encoded together, and where the ids differ the join is
-dissolved and the merged chunk encoded anew, until all joins agree.
+A text is cut where a rolling hash of its last ROLL bytes has its low `bits` bits zero (512 bytes a chunk on average, some dozens of
+words), wherever that falls in a word, so equal passages are cut alike wherever they stand. Each distinct chunk is encoded once
+and kept in the worker's cache, which all documents of its tasks share; it is bounded in bytes, and what falls out is encoded again.
+
+Joins are repaired: of a join inside a word, the word's two pieces and the whole word are encoded; where the pieces' ids, which the
+chunks end and begin with, are not the whole word's, they give way to those. Words are what lies between white space, as the tokenizer
+parts no word there and leaves no trace of it (probed when it is loaded). A chunk without white space is joined with the one before.
+With a tokenizer that keeps white space, whole chunks are encoded together, and where the ids differ the join is dissolved and the merged
+chunk encoded anew, until all joins agree.
 
 Decoding is the library's for tokenizers without a decoder: the tokens' strings, joined by one space.
 
@@ -24,15 +27,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm._base import in_bytes, offsets_of, ragged, span_hashes, word_spans
+from siltstone.llm._base import SPACE, in_bytes, offsets_of, ragged, span_hashes
 
 _LOADED: dict[str, Codec] = {}
+#: Bytes that the rolling hash sees.
+ROLL = 16
 
 
 class Codec:
     """A tokenizer file with its chunk cache; one for each Python worker and file."""
 
-    def __init__(self, path: str, bits: int = 3, cached: int = 400_000):
+    def __init__(self, path: str, bits: int = 9, cached: int = 24 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -41,6 +46,9 @@ class Codec:
         self.tokenizer.no_padding()
         self.mask, self.cached = np.uint64((1 << bits) - 1), cached
         self.cache: dict[bytes, bytes] = {}
+        self.held = self.made = 0
+        #: Chunks met and encoded, joins inside a word, and those repaired; for tests and figures.
+        self.counts = dict.fromkeys(("chunks", "encoded", "joins", "repaired"), 0)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         tokens = [(self.tokenizer.id_to_token(i) or "").encode() + b" " for i in range(size)]
         self.token_ends = np.cumsum([len(t) for t in tokens])
@@ -55,40 +63,95 @@ class Codec:
         return all(one(a + gap + b) == one(a) + one(b) for a in probes for b in probes for gap in (" ", "\t", "\n", "\x0b", "\x0c", "\r", " \n ")) and not one(" ")
 
     def encode_all(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids (little-endian, 32 bits) of each chunk, from the cache or encoded now."""
+        """The ids (little-endian, 32 bits) of each of the distinct `chunks`, from the cache or encoded now."""
         found = [self.cache.get(c) for c in chunks]
         missing = list(dict.fromkeys(c for c, f in zip(chunks, found, strict=True) if f is None))
+        self.made += len(missing)
         if missing:
             made = self.tokenizer.encode_batch_fast([c.decode() for c in missing], add_special_tokens=False)
             new = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(missing, made, strict=True)}
-            if len(self.cache) + len(new) > self.cached:  # the older half goes
-                self.cache = dict(list(self.cache.items())[len(self.cache) // 2 :]) if len(new) < self.cached else {}
+            self.held += sum(len(c) + len(i) for c, i in new.items())
+            if self.held > self.cached:  # the older half goes
+                items = list(self.cache.items())[len(self.cache) // 2 :]
+                self.cache = dict(items)
+                self.held = sum(len(c) + len(i) for c, i in items) + sum(len(c) + len(i) for c, i in new.items())
             self.cache |= new
             found = [new[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
         return found
 
+    def _cuts(self, raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+        """Where chunks begin, texts' starts included; `gaps` are the places of white space."""
+        n = len(raw)
+        at = np.arange(ROLL, n)
+        hashes = span_hashes(raw, at - ROLL, at)
+        at = at[((hashes & self.mask) == 0) & ((raw[ROLL:] & 0xC0) != 0x80)]
+        text = np.searchsorted(offsets, at, "right") - 1
+        at = at[at - ROLL >= offsets[text]]  # the window lies within the text
+        starts = offsets[:-1][offsets[:-1] < offsets[1:]]
+        while True:
+            cuts = np.union1d(starts, at)
+            spaces = np.searchsorted(gaps, np.append(cuts[1:], n)) - np.searchsorted(gaps, cuts)
+            inner = np.isin(cuts, at) & np.isin(np.append(cuts[1:], n), at)
+            bare = cuts[inner & (spaces == 0)]
+            if not len(bare):
+                return cuts
+            at = np.setdiff1d(at, bare)
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the n + 1 offsets of each text's ids."""
-        starts, ends, words = word_spans(raw, offsets)
-        if not len(starts):
+        if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        cut = (span_hashes(raw, starts, ends) & self.mask) != 0
-        begin = np.zeros(len(starts), bool)
-        begin[1:] = cut[:-1]
-        begin[words[:-1][words[:-1] < words[1:]]] = True
-        first = np.flatnonzero(begin)
-        last = np.append(first[1:], len(starts)) - 1
-        per_text = np.searchsorted(first, words)
+        gaps = np.flatnonzero(SPACE[raw])
+        begin = self._cuts(raw, offsets, gaps)
+        end = np.append(begin[1:], len(raw))
+        per_text = np.searchsorted(begin, offsets)
         if not self.drops_space:
-            return self._repaired(raw, offsets, starts[first], per_text)
-        a, b = starts[first], ends[last]
-        _, at, which = np.unique(span_hashes(raw, a, b), return_index=True, return_inverse=True)
+            return self._repaired(raw, offsets, begin, per_text)
         data = raw.tobytes()
-        known = self.encode_all([data[x:y] for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)])
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat, begins = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
-        lengths = size[which]
-        return flat[ragged(begins[which], lengths)], np.concatenate([[0], np.cumsum(lengths)])[per_text]
+
+        def ids_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Ids of all spans, each distinct one once; where each span's begin and how many there are."""
+            _, at, which = np.unique(span_hashes(raw, a, b), return_index=True, return_inverse=True)
+            known = self.encode_all([data[x:y] for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)])
+            size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            return np.frombuffer(b"".join(known), "<u4"), (np.cumsum(size) - size)[which], size[which]
+
+        made = self.made
+        flat, base, size = ids_of(begin, end)
+        self.counts["chunks"] += len(begin)
+        self.counts["encoded"] += self.made - made
+        # a join lies inside a word if no white space is on either side of it
+        join = np.flatnonzero(~np.isin(begin, offsets) & ~SPACE[raw[begin]] & ~SPACE[raw[begin - 1]])
+        self.counts["joins"] += len(join)
+        place = begin[join]
+        text = np.searchsorted(offsets, place, "right") - 1
+        at = np.searchsorted(gaps, place)
+        left = np.maximum(np.append(-1, gaps)[at] + 1, offsets[text])
+        right = np.minimum(np.append(gaps, len(raw))[at], offsets[text + 1])
+        head_flat, head_base, head = ids_of(left, place)
+        tail_flat, tail_base, tail = ids_of(place, right)
+        word_flat, word_base, word = ids_of(left, right)
+        parts = np.concatenate([head_flat, tail_flat])
+        apart = head + tail != word
+        same = np.flatnonzero(~apart)
+        rows = np.repeat(same, word[same])
+        inside = ragged(np.zeros(len(same), np.int64), word[same])
+        source = np.where(inside < head[rows], head_base[rows] + inside, len(head_flat) + tail_base[rows] + inside - head[rows])
+        differs = parts[source] != word_flat[word_base[rows] + inside] if len(rows) else np.zeros(0, bool)
+        apart[np.unique(rows[differs])] = True
+        fixed = np.flatnonzero(apart)
+        self.counts["repaired"] += len(fixed)
+        first, count = base.copy(), size.copy()
+        first[join[fixed]] += tail[fixed]
+        count[join[fixed]] -= tail[fixed]
+        count[join[fixed] - 1] -= head[fixed]
+        # chunks and repaired words in their order: the repaired word of a join stands before the chunk
+        starts = np.stack([np.zeros(len(begin), np.int64), first], axis=1)
+        lengths = np.stack([np.zeros(len(begin), np.int64), count], axis=1)
+        starts[join[fixed], 0] = len(flat) + word_base[fixed]
+        lengths[join[fixed], 0] = word[fixed]
+        ids = np.concatenate([flat, word_flat])[ragged(starts.reshape(-1), lengths.reshape(-1))]
+        return ids, np.concatenate([[0], np.cumsum(lengths.sum(axis=1))])[per_text]
 
     def _repaired(self, raw: np.ndarray, offsets: np.ndarray, cuts: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For tokenizers that keep white space: chunks reach to the next one's start, and every join is checked."""
@@ -122,7 +185,7 @@ class Codec:
         return [text[a : max(a, b - 1)] for a, b in zip(ends, ends[1:], strict=False)]
 
 
-def codec(path: str, bits: int = 3) -> Codec:
+def codec(path: str, bits: int = 9) -> Codec:
     """The worker's codec of a tokenizer file."""
     key = f"{path}:{bits}"
     if key not in _LOADED:
@@ -130,7 +193,7 @@ def codec(path: str, bits: int = 3) -> Codec:
     return _LOADED[key]
 
 
-def encode_texts(docs: DataFrame, path: str, keep: list[str], bits: int = 3) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str, keep: list[str], bits: int = 9) -> DataFrame:
     """`keep` columns of every row, its `ids` and its `decoded` text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +209,7 @@ def encode_texts(docs: DataFrame, path: str, keep: list[str], bits: int = 3) ->
     return frame.mapInArrow(run, f"{kinds}ids array<int>, decoded string")
 
 
-def op7(docs: DataFrame, path: str, bits: int = 3) -> DataFrame:
+def op7(docs: DataFrame, path: str, bits: int = 9) -> DataFrame:
     """The query's digest: the number of ids and the digests of ids and decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import math
+import random
 import re
+import resource
 import zlib
 
 import numpy as np
@@ -186,6 +188,39 @@ def test_pigeonhole_loses_no_pair():
                 assert np.isin(sig[owner == k], common).sum() >= need[k]
 
 
+def test_field_adds_secrets_that_no_pattern_matches(spark):
+    """Secrets set in without a keyword of the patterns are found, and texts without any are left alone."""
+    rng = random.Random(4)
+    clean = lambda: " ".join(rng.choice(["the", "of", "house", "12", "river,", "and", "Paris", "a.b@mail.example", "2024-05-06"]) for _ in range(80))
+    made = lambda: "".join(rng.choice("ABCDEFGHIJKabcdefghijk0123456789") for _ in range(24)) + "Zq7"
+    rows, want = [], {}
+    for i in range(300):
+        text = clean()
+        if i % 10 == 0:
+            text += f" password: {made()} " + clean()
+        elif i % 10 == 1:
+            value = made()
+            want[i] = f"{len(text) + 8}:{len(text) + 8 + len(value)}"
+            text += f" bearer {value} " + clean()
+        rows.append((i, text, None, None, None))
+    got = {r.doc_id: r for r in secret_scan.op5(frame(spark, rows)).collect()}
+    assert sum(got[i].spans == f"crf:{at}" for i, at in want.items()) >= 0.9 * len(want)
+    assert all(not got[i].spans for i in got if i % 10 > 1)
+    assert all(got[i].n_assign == 1 for i in got if i % 10 == 0)
+
+
+def test_language_vectors_of_many_short_texts():
+    """Sums by letter equal sums by count, and thousands of trigrams never stand in one table with thousands of texts."""
+    rng = random.Random(1)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(80)) for _ in range(2000)] + [None, "", "1 2", "abc"]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    got = language_id.bundle(texts, 512)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000  # KB; one table took 2.6 GB
+    for i in (0, 1999, 2000, 2002, 2003):
+        grams, which, _ = language_id.letter_grams([texts[i]])
+        assert (got[i] == language_id.gram_vectors(grams[which], 512).astype(int).sum(axis=0)).all()
+
+
 def test_bpe(spark, docs):
     from tokenizers import Tokenizer
 
@@ -200,6 +235,24 @@ def test_bpe(spark, docs):
     assert bpe.op7(docs.limit(0), path).count() == 0
 
 
+def test_bpe_reuses_chunks_and_repairs_words():
+    """With the query's tokenizer: chunks of several words, cut inside words, met again in other documents; every id as the library's."""
+    from tokenizers import Tokenizer
+
+    from siltstone.llm._base import offsets_of
+
+    path = tokenizer_path()
+    tk = Tokenizer.from_file(path)
+    passage = " ".join(f"word{i % 37}x strange{i * 7 % 101}" for i in range(300))
+    texts = [f"Start {k}, {passage} end {k}" for k in range(6)] + ["", None, "  ", "x" * 4000, "aΣ" * 900 + " b", "é́ <|endoftext|>q " * 90]
+    for bits in (2, 5, 9):
+        coder = bpe.Codec(path, bits)
+        ids, offsets = coder.encode(*offsets_of(pa.array(texts, pa.string())))
+        for i, t in enumerate(texts):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == tk.encode(t or "", add_special_tokens=False).ids
+        assert coder.drops_space and coder.counts["repaired"] > 0 and coder.counts["encoded"] < coder.counts["chunks"] / 2
+
+
 def test_bpe_repairs_joins():
     from tokenizers import Tokenizer
 
