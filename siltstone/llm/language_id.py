@@ -79,16 +79,42 @@ def gram_vectors(grams: np.ndarray, dims: int) -> np.ndarray:
     return out
 
 
+#: Letters of the texts that are bundled at once, and trigrams whose vectors are held at once.
+_PIECE, _HELD = 1 << 17, 1 << 13
+
+
 def _counts(group: np.ndarray, groups: int, which: np.ndarray, n: int) -> np.ndarray:
     """How often each of n trigrams is in each group."""
     return np.bincount(group * n + which, minlength=groups * n).reshape(groups, n)
 
 
+def _added(grams: np.ndarray, which: np.ndarray, offsets: np.ndarray, dims: int) -> np.ndarray:
+    """The sum of the vectors of each text's trigrams; memory is bounded by pieces whatever the number of texts and trigrams.
+    Counts by text and trigram are multiplied where that table is well filled, else vectors are added up letter by letter."""
+    n, out = len(offsets) - 1, np.zeros((len(offsets) - 1, dims))
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _PIECE, "right")) - 1)
+        mine = which[offsets[a] : offsets[b]]
+        row = np.repeat(np.arange(b - a), np.diff(offsets[a : b + 1]))
+        known, inner = np.unique(mine, return_inverse=True)
+        if (b - a) * len(known) <= 64 * len(mine):
+            for k in range(0, len(known), _HELD):
+                some = (inner >= k) & (inner < k + _HELD)
+                size = min(_HELD, len(known) - k)
+                out[a:b] += _counts(row[some], b - a, inner[some] - k, size).astype(np.float32) @ gram_vectors(grams[known[k : k + size]], dims).astype(np.float32)
+        else:
+            for k in range(0, len(mine), _HELD):
+                rows = row[k : k + _HELD]
+                first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+                out[a + rows[first]] += np.add.reduceat(gram_vectors(grams[mine[k : k + _HELD]], dims), first, axis=0, dtype=np.int32)
+        a = b
+    return out
+
+
 def bundle(texts: list[str | None], dims: int) -> np.ndarray:
     """The vector of each text."""
-    grams, which, offsets = letter_grams(texts)
-    row = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    return _counts(row, len(texts), which, len(grams)).astype(np.float32) @ gram_vectors(grams, dims).astype(np.float32)
+    return _added(*letter_grams(texts), dims)
 
 
 def learn(docs: DataFrame, dims: int = 512) -> dict[str, np.ndarray]:
@@ -98,14 +124,17 @@ def learn(docs: DataFrame, dims: int = 512) -> dict[str, np.ndarray]:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in in_bytes(batches):
+        for batch in in_bytes(batches, most=1 << 19):
             langs = batch.column("lang").to_pylist()
             grams, which, offsets = letter_grams(batch.column("text").to_pylist())
             names = sorted(set(langs))
             group = np.repeat([names.index(x) for x in langs], np.diff(offsets)).astype(np.int64)
-            counts = _counts(group, len(names), which, len(grams))
-            for name, vector in zip(names, counts.astype(np.float64) @ gram_vectors(grams, dims), strict=True):
-                total[name] = total.get(name, 0) + vector
+            for k in range(0, len(grams), _HELD):
+                some = (which >= k) & (which < k + _HELD)
+                size = min(_HELD, len(grams) - k)
+                sums_of = _counts(group[some], len(names), which[some] - k, size).astype(np.float64) @ gram_vectors(grams[k : k + size], dims)
+                for name, vector in zip(names, sums_of, strict=True):
+                    total[name] = total.get(name, 0) + vector
         if total:
             yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "vector": pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))})
 
@@ -122,12 +151,13 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]
     dims = matrix.shape[1] if names else 64
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_bytes(batches):
-            vectors = bundle(batch.column("text").to_pylist(), dims).astype(np.float64)
+        for batch in in_bytes(batches, most=1 << 19):
+            grams, which, offsets = letter_grams(batch.column("text").to_pylist())
+            vectors = _added(grams, which, offsets, dims)
             norms = np.linalg.norm(vectors, axis=1)
-            some = (norms > 0) & bool(names)
+            some = (np.diff(offsets) > 0) & bool(names)  # a letter; vectors that add up to nothing are as far from all
             if names:
-                cosines = np.round(vectors @ matrix.T / np.where(some, norms, 1)[:, None], 9)
+                cosines = np.round(vectors @ matrix.T / np.where(norms > 0, norms, 1)[:, None], 9)
                 best, score = cosines.argmax(axis=1), np.clip(cosines.max(axis=1), 0, 1)
             else:
                 best = score = np.zeros(batch.num_rows, int)
