@@ -2,8 +2,10 @@
 
 The field tags each word of a text as Begin, Inside or Outside of a secret from its shape, its
 neighbours and features of the whole text; the best tagging is found by Viterbi. It is trained here, by
-maximum likelihood on the words that the patterns mark in a bounded sample of texts, with features that
-see shapes and neighbours, not the patterns' verdict; so it generalises to other keywords and layouts.
+maximum likelihood, on a bounded sample of texts: `most` that the patterns mark and `most` others, at most CHAINS chains of
+CHAIN words from each, cut from anywhere in texts of any length. Of a marked text it sees the values that the patterns find, as they stand
+and again in layouts that no pattern matches (other keywords, other marks, none at all); of the others, the words most like a
+value, all Outside; in both, invented secrets set in at any place. So it learns values and neighbours, not the patterns' verdict.
 
 Viterbi is exact and cheap: a word is settled as Outside when no neighbours could make Begin or Inside
 pay (swapping it to Outside improves every path); only the runs between such words are decoded, each
@@ -17,7 +19,9 @@ each answered; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.llm._base import LOWER, in_bytes, offsets_of, span_hashes, sum_by, word_spans
+from siltstone.llm._base import LOWER, in_bytes, offsets_of, settle, span_hashes, sum_by, word_spans
 
 #: Kinds in their order, patterns and least lengths of the contract.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -49,9 +53,13 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
-_CLASS = {name: np.isin(np.arange(256), np.frombuffer(chars.encode(), np.uint8)) for name, chars in {"digit": "0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": "abcdefghijklmnopqrstuvwxyz", "hexes": "0123456789abcdef", "join": "=:", "extra": "+/_-=", "quote": "\"'`"}.items()}
+_CLASS = {name: np.isin(np.arange(256), np.frombuffer(chars.encode(), np.uint8)) for name, chars in {"digit": "0123456789", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": "abcdefghijklmnopqrstuvwxyz", "hexes": "0123456789abcdef", "join": "=:", "extra": "+/_-=", "quote": "\"'`", "at": "@"}.items()}
 _CLASS["wide"] = np.arange(256) >= 128
-FEATURES = 26
+FEATURES = 27
+#: Words of a training chain, and most chains of one text.
+CHAIN, CHAINS = 12, 4
+#: Layouts of a value that no pattern matches; the value stands for {}.
+LAYOUTS = ("pwd {}", "passphrase is {}", "credentials -> {}", "Authorization Bearer {}", "key {}", "auth={}", "login with {} today", "({})", "\"{}\"", "{},")
 
 
 def _announcers() -> np.ndarray:
@@ -101,7 +109,7 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         mixed, mixed & (mixes >= 3), rich, mixed & (has["digit"] * 5 > length), (has["hexes"] >= 16) & (has["hexes"] + 12 >= plain) & mixed,
         (has["upper"] >= 8) & (has["digit"] >= 1) & (has["lower"] == 0) & (length >= 16), has["wide"] > 0, letters == length, has["digit"] == length,
         inner, inner & mixed, has["quote"] > 0, cue, shift(cue, 1), shift(cue & ends_join, 1) & (length >= 8), shift(cue, 2) & shift(ends_join, 1), shift(cue, 2) & shift(ends_join, 1) & mixed,
-        shift(ends_join, -1) & cue, shift(rich, 1), np.repeat((dense > 0.05) | (coded > 0.05), np.diff(words)),
+        shift(ends_join, -1) & cue, shift(rich, 1), np.repeat((dense > 0.05) | (coded > 0.05), np.diff(words)), has["at"] > 0,
     ]
     return starts, ends, words, np.column_stack(columns).astype(np.float32) if n else np.zeros((0, FEATURES), np.float32)
 
@@ -165,23 +173,67 @@ class Field:
             state = np.where(live, back[t, np.arange(n), state], state)
 
 
-def train(sample: list[str], rounds: int = 200, chain: int = 24) -> Field | None:
-    """Maximum likelihood with an L2 prior by full-batch Adam, on chains of words around the patterns'
-    matches and as many chains elsewhere; None if the patterns match nothing."""
-    xs, ys = [], []
-    for text in sample:
-        raw, offsets = offsets_of(pa.array([text], pa.string()))
-        starts, ends, _, x = features(raw, offsets)
-        y = np.zeros(len(x), np.int64)
-        lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-        begin, stop = lead[starts], lead[ends]
-        for a, _, b in base_spans(text):
-            hit = np.flatnonzero((begin < b) & (stop > a))
-            y[hit] = np.where(np.arange(len(hit)) == 0, 1, 2)
-        cuts = [max(0, i - chain // 2) for i in np.flatnonzero(y == 1)] + [len(x) // 2 // chain * chain]
-        for cut in cuts:
-            xs.append(np.pad(x[cut : cut + chain], ((0, chain - len(x[cut : cut + chain])), (0, 0))))
-            ys.append(np.pad(y[cut : cut + chain], (0, chain - len(y[cut : cut + chain]))))
+def _chains(text: str, secret: list[tuple[int, int]] | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and states of chains of a text: around the spans `secret`, or, if None, around the words most like a value."""
+    raw, offsets = offsets_of(pa.array([text], pa.string()))
+    starts, ends, _, x = features(raw, offsets)
+    y = np.zeros(len(x), np.int64)
+    lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    begin, stop = lead[starts], lead[ends]
+    for a, b in secret or ():
+        hit = np.flatnonzero((begin < b) & (stop > a))
+        y[hit] = np.where(np.arange(len(hit)) == 0, 1, 2)
+    likely = x[:, 6] + x[:, 8] + x[:, 10] + x[:, 11] + x[:, 15] + x[:, 16] + x[:, 18] + x[:, 5]
+    middles = np.flatnonzero(y == 1)[:CHAINS] if secret is not None else np.argsort(-likely, kind="stable")[: CHAINS - 1]
+    for i in dict.fromkeys([*(max(0, int(i) - CHAIN // 2) for i in middles), len(x) // 2 // CHAIN * CHAIN]):
+        part = slice(i, i + CHAIN)
+        short = CHAIN - len(x[part])
+        yield np.pad(x[part], ((0, short), (0, 0))), np.pad(y[part], (0, short))
+
+
+def values(text: str) -> list[tuple[int, int]]:
+    """Where the values of the patterns' matches are: what is assigned, or the whole match."""
+    found = [m.span(2) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    return sorted({*found, *((s, e) for s, k, e in base_spans(text) if k)})
+
+
+def invented(seed: int) -> str:
+    """A made-up secret: letters and digits, or hex too short for the patterns, some with a prefix."""
+    rng = random.Random(seed)
+    kind = rng.choice(("mixed", "mixed", "lower", "hex"))
+    chars = {"mixed": string.ascii_letters + string.digits, "lower": string.ascii_lowercase + string.digits, "hex": "0123456789abcdef"}[kind]
+    size = rng.randint(12, 31) if kind == "hex" else rng.randint(12, 44)
+    return rng.choice(("", "", "", "sk_", "ghp_", "key-")) + "".join(rng.choice(chars) for _ in range(size))
+
+
+def examples(text: str, at: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Training chains of a text; `at`, any number, picks the layouts and places in which its values and an invented one are shown."""
+    found = values(text)
+    out = list(_chains(text, found or None))
+
+    def show(before: str, value: str, after: str, layout: str) -> None:
+        place = len(before) + layout.index("{}")
+        out.append(next(_chains(before + layout.replace("{}", value) + after, [(place, place + len(value))])))
+
+    for k, (s, e) in enumerate(found[:CHAINS]):
+        whole = next(((a, b) for a, _, b in base_spans(text) if a <= s and e <= b), (s, e))
+        show(text[: whole[0]], text[s:e], text[whole[1] :], LAYOUTS[(at + k) % len(LAYOUTS)])
+    rng = random.Random(at)
+    spaces = [m.start() for m in re.finditer(" ", text)]
+    for k in range(2):
+        i = rng.choice(spaces) if spaces else len(text)
+        show(text[:i] + " ", invented(at * 2 + k), text[i:], rng.choice(LAYOUTS))
+    return out
+
+
+def train(sample: list[str], rounds: int = 120) -> Field | None:
+    """The field of a list of texts, for use without a cluster."""
+    made = [c for k, text in enumerate(sample) for c in examples(text, k)]
+    return fit([x for x, _ in made], [y for _, y in made], rounds)
+
+
+def fit(xs: list[np.ndarray], ys: list[np.ndarray], rounds: int = 120) -> Field | None:
+    """Maximum likelihood with an L2 prior by full-batch Adam; None if no chain has a secret."""
     if not xs or not any((y == 1).any() for y in ys):
         return None
     x, y = np.array(xs, np.float64), np.array(ys)
@@ -238,17 +290,27 @@ def find(texts: pa.Array, field: Field | None) -> list[tuple[list[Span], list[Sp
     return out
 
 
-def sample_texts(docs: DataFrame, most: int) -> list[str]:
-    """At most `most` distinct texts that the patterns mark and a quarter as many others, by the order of their hash:
-    the documented bound of what the field is fitted on. Hashes are ranked first, so tasks send numbers, not texts."""
+def learned(docs: DataFrame, most: int = 1000) -> Field | None:
+    """The field of `docs`: of the distinct texts, the `most` of least hash that the patterns mark and as many others, the documented
+    bound of what it is fitted on. One scan ranks hashes, one fetches; tasks send chains, not texts."""
     marked = F.col("text").rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}")
-    rows = docs.select("text", marked.alias("marked"), F.xxhash64("text").alias("h")).where(F.length("text").between(1, 20_000))
-    out: list[str] = []
-    for part, n in ((rows.where("marked"), most), (rows.where("not marked"), most // 4)):
-        bound = part.select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
-        if bound is not None:
-            out += [r.text for r in part.where(F.col("h") <= bound).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect()]
-    return out
+    ranked = settle(docs.where("length(text) > 0").select(F.xxhash64("text").alias("h"), marked.alias("marked")), "secret-ranks")
+    chosen = [r.h for flag in (True, False) for r in ranked.where(F.col("marked") == flag).select("h").distinct().orderBy("h").limit(most).collect()]
+    if not chosen:
+        return None
+    wanted = F.broadcast(docs.sparkSession.createDataFrame([(h,) for h in chosen], "h long"))  # at most 2 * most rows
+    texts = docs.select("text", F.xxhash64("text").alias("h")).join(wanted, "h", "left_semi").dropDuplicates(["h"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_bytes(batches):
+            for text, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
+                made = examples(text, h % (1 << 32))
+                x, y = np.array([x for x, _ in made], np.float32), np.array([y for _, y in made], np.int8)
+                yield pa.RecordBatch.from_pydict({"h": pa.array([h], pa.int64()), "x": pa.array([x.tobytes()], pa.binary()), "y": pa.array([y.tobytes()], pa.binary())})
+
+    rows = sorted(texts.mapInArrow(cut, "h long, x binary, y binary").collect())
+    xs = [x for r in rows for x in np.frombuffer(r.x, np.float32).reshape(-1, CHAIN, FEATURES)]
+    return fit(xs, [y for r in rows for y in np.frombuffer(r.y, np.int8).reshape(-1, CHAIN).astype(np.int64)])
 
 
 def scan(docs: DataFrame, field: Field | None, keep: list[str]) -> DataFrame:
@@ -284,7 +346,7 @@ def redact(text: str | None, spans: list[Span]) -> str | None:
 
 def op5(docs: DataFrame, most: int = 1000) -> DataFrame:
     """The query's digest: counts of each pattern, the digest of their spans, and all spans."""
-    field = train(sample_texts(docs, most))
+    field = learned(docs, most)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches):
