@@ -33,7 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, each secret in its text replaced by its kind, and n_chars counted anew."""
     rest = [c for c in COLUMNS if c not in ("text", "n_chars")]
-    field = secret_scan.train(secret_scan.sample_texts(docs, 1000))
+    field = secret_scan.learned(docs)
     found = secret_scan.scan(docs.select(*COLUMNS), field, rest)
     return found.withColumn("text", F.col("redacted")).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
