@@ -2,7 +2,8 @@
 
 A text is cut where a rolling hash of its last ROLL bytes has its low `bits` bits zero (512 bytes a chunk on average, some dozens of
 words), wherever that falls in a word, so equal passages are cut alike wherever they stand. Each distinct chunk is encoded once
-and kept in the worker's cache, which all documents of its tasks share; it is bounded in bytes, and what falls out is encoded again.
+and kept by its hash in the worker's memo, which all documents of its tasks share; so are the words that new chunks consist of. Memos are
+bounded, and what falls out is encoded again.
 
 Joins are repaired: of a join inside a word, the word's two pieces and the whole word are encoded; where the pieces' ids, which the
 chunks end and begin with, are not the whole word's, they give way to those. Words are what lies between white space, as the tokenizer
@@ -19,6 +20,7 @@ text); repeated rows are each answered; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 from collections.abc import Iterator
@@ -27,26 +29,57 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltstone.llm._base import SPACE, in_bytes, offsets_of, ragged, span_hashes
+from siltstone.llm._base import SPACE, in_bytes, offsets_of, ragged, span_hashes, word_spans
 
 _LOADED: dict[str, Codec] = {}
 #: Bytes that the rolling hash sees.
 ROLL = 16
 
 
+class Memo:
+    """Ids by hash, in sorted arrays: of 64-bit hashes, where their ids begin, how many there are, and all ids in a row."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each hash, where it is and whether it is there."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, self.hashes[at] == hashes
+
+    def room(self, new: int) -> bool:
+        """Whether `new` more ids fit; if not, the memo is emptied."""
+        if len(self.ids) + new <= self.most or not len(self.ids):
+            return True
+        self.clear()
+        return False
+
+    def add(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """New, sorted, distinct hashes with their ids in a row."""
+        at = np.searchsorted(self.hashes, hashes)
+        self.starts = np.insert(self.starts, at, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes, self.hashes = np.insert(self.sizes, at, sizes), np.insert(self.hashes, at, hashes)
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class Codec:
     """A tokenizer file with its chunk cache; one for each Python worker and file."""
 
-    def __init__(self, path: str, bits: int = 9, cached: int = 24 << 20):
+    def __init__(self, path: str, bits: int = 9, cached: int = 6 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.mask, self.cached = np.uint64((1 << bits) - 1), cached
-        self.cache: dict[bytes, bytes] = {}
-        self.held = self.made = 0
+        self.mask = np.uint64((1 << bits) - 1)
+        self.chunks, self.words = Memo(cached), Memo(cached)
         #: Chunks met and encoded, joins inside a word, and those repaired; for tests and figures.
         self.counts = dict.fromkeys(("chunks", "encoded", "joins", "repaired"), 0)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -62,22 +95,44 @@ class Codec:
         probes = ("a", "Zq9", "'s", "́x", "Σ", "!?", "<|endoftext|>", "été", "7", "中")
         return all(one(a + gap + b) == one(a) + one(b) for a in probes for b in probes for gap in (" ", "\t", "\n", "\x0b", "\x0c", "\r", " \n ")) and not one(" ")
 
-    def encode_all(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids (little-endian, 32 bits) of each of the distinct `chunks`, from the cache or encoded now."""
-        found = [self.cache.get(c) for c in chunks]
-        missing = list(dict.fromkeys(c for c, f in zip(chunks, found, strict=True) if f is None))
-        self.made += len(missing)
-        if missing:
-            made = self.tokenizer.encode_batch_fast([c.decode() for c in missing], add_special_tokens=False)
-            new = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(missing, made, strict=True)}
-            self.held += sum(len(c) + len(i) for c, i in new.items())
-            if self.held > self.cached:  # the older half goes
-                items = list(self.cache.items())[len(self.cache) // 2 :]
-                self.cache = dict(items)
-                self.held = sum(len(c) + len(i) for c, i in items) + sum(len(c) + len(i) for c, i in new.items())
-            self.cache |= new
-            found = [new[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
-        return found
+    def encode_all(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all `chunks` in a row, encoded now, and how many each has."""
+        made = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        return np.fromiter((i for ids in made for i in ids), np.uint32, int(sizes.sum())), sizes
+
+    def _word_ids(self, raw: np.ndarray, data: bytes, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids among which are those of all spans, each distinct one encoded once; where each span's begin and how many there are."""
+        hashes, first, which = np.unique(span_hashes(raw, a, b), return_index=True, return_inverse=True)
+        at, there = self.words.find(hashes)
+        new = np.flatnonzero(~there)
+        if len(new):
+            if not self.words.room(8 * len(new)):
+                new = np.arange(len(hashes))
+            ids, sizes = self.encode_all([data[x:y] for x, y in zip(a[first[new]].tolist(), b[first[new]].tolist(), strict=True)])
+            self.words.add(hashes[new], sizes, ids)
+            at, _ = self.words.find(hashes)
+        return self.words.ids, self.words.starts[at][which], self.words.sizes[at][which]
+
+    def _chunk_ids(self, raw: np.ndarray, data: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of chunks, which lie side by side."""
+        hashes, first, which = np.unique(span_hashes(raw, begin, end), return_index=True, return_inverse=True)
+        at, there = self.chunks.find(hashes)
+        new = np.flatnonzero(~there)
+        if len(new):
+            if not self.chunks.room(len(raw) // 2):
+                new = np.arange(len(hashes))
+            a, b, of = word_spans(raw, np.append(begin, len(raw)))
+            many = np.diff(of)[first[new]]
+            words = ragged(of[:-1][first[new]], many)
+            ids, base, size = self._word_ids(raw, data, a[words], b[words])
+            total = np.concatenate([[0], np.cumsum(size)])
+            edges = np.concatenate([[0], np.cumsum(many)])
+            self.chunks.add(hashes[new], np.diff(total[edges]), ids[ragged(base, size)])
+            self.counts["encoded"] += len(new)
+            at, _ = self.chunks.find(hashes)
+        self.counts["chunks"] += len(begin)
+        return self.chunks.ids, self.chunks.starts[at][which], self.chunks.sizes[at][which]
 
     def _cuts(self, raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray) -> np.ndarray:
         """Where chunks begin, texts' starts included; `gaps` are the places of white space."""
@@ -109,17 +164,7 @@ class Codec:
             return self._repaired(raw, offsets, begin, per_text)
         data = raw.tobytes()
 
-        def ids_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """Ids of all spans, each distinct one once; where each span's begin and how many there are."""
-            _, at, which = np.unique(span_hashes(raw, a, b), return_index=True, return_inverse=True)
-            known = self.encode_all([data[x:y] for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)])
-            size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-            return np.frombuffer(b"".join(known), "<u4"), (np.cumsum(size) - size)[which], size[which]
-
-        made = self.made
-        flat, base, size = ids_of(begin, end)
-        self.counts["chunks"] += len(begin)
-        self.counts["encoded"] += self.made - made
+        flat, base, size = self._chunk_ids(raw, data, begin, end)
         # a join lies inside a word if no white space is on either side of it
         join = np.flatnonzero(~np.isin(begin, offsets) & ~SPACE[raw[begin]] & ~SPACE[raw[begin - 1]])
         self.counts["joins"] += len(join)
@@ -128,16 +173,14 @@ class Codec:
         at = np.searchsorted(gaps, place)
         left = np.maximum(np.append(-1, gaps)[at] + 1, offsets[text])
         right = np.minimum(np.append(gaps, len(raw))[at], offsets[text + 1])
-        head_flat, head_base, head = ids_of(left, place)
-        tail_flat, tail_base, tail = ids_of(place, right)
-        word_flat, word_base, word = ids_of(left, right)
-        parts = np.concatenate([head_flat, tail_flat])
+        ids, bases, sizes = self._word_ids(raw, data, np.concatenate([left, place, left]), np.concatenate([place, right, right]))
+        (head_base, tail_base, word_base), (head, tail, word) = np.split(bases, 3), np.split(sizes, 3)
         apart = head + tail != word
         same = np.flatnonzero(~apart)
         rows = np.repeat(same, word[same])
         inside = ragged(np.zeros(len(same), np.int64), word[same])
-        source = np.where(inside < head[rows], head_base[rows] + inside, len(head_flat) + tail_base[rows] + inside - head[rows])
-        differs = parts[source] != word_flat[word_base[rows] + inside] if len(rows) else np.zeros(0, bool)
+        source = np.where(inside < head[rows], head_base[rows] + inside, tail_base[rows] + inside - head[rows])
+        differs = ids[source] != ids[word_base[rows] + inside]
         apart[np.unique(rows[differs])] = True
         fixed = np.flatnonzero(apart)
         self.counts["repaired"] += len(fixed)
@@ -150,13 +193,13 @@ class Codec:
         lengths = np.stack([np.zeros(len(begin), np.int64), count], axis=1)
         starts[join[fixed], 0] = len(flat) + word_base[fixed]
         lengths[join[fixed], 0] = word[fixed]
-        ids = np.concatenate([flat, word_flat])[ragged(starts.reshape(-1), lengths.reshape(-1))]
-        return ids, np.concatenate([[0], np.cumsum(lengths.sum(axis=1))])[per_text]
+        out = np.concatenate([flat, ids])[ragged(starts.reshape(-1), lengths.reshape(-1))]
+        return out, np.concatenate([[0], np.cumsum(lengths.sum(axis=1))])[per_text]
 
     def _repaired(self, raw: np.ndarray, offsets: np.ndarray, cuts: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For tokenizers that keep white space: chunks reach to the next one's start, and every join is checked."""
         data, out, sizes = raw.tobytes(), [], [0]
-        one = lambda c: np.frombuffer(self.encode_all([c])[0], "<u4")
+        one = functools.lru_cache(4096)(lambda c: self.encode_all([c])[0])
         for i in range(len(offsets) - 1):
             edges = [int(offsets[i]), *(int(x) for x in cuts[per_text[i] : per_text[i + 1]][1:]), int(offsets[i + 1])]
             chunks = [data[x:y] for x, y in zip(edges, edges[1:], strict=False) if y > x]
