@@ -5,7 +5,7 @@ neighbours and features of the whole text; the best tagging is found by Viterbi.
 maximum likelihood, on a bounded sample of texts: `most` that the patterns mark and `most` others, at most CHAINS chains of
 CHAIN words from each, cut from anywhere in texts of any length. Of a marked text it sees the values that the patterns find, as they stand
 and again in layouts that no pattern matches (other keywords, other marks, none at all); of the others, the words most like a
-value, all Outside; in both, invented secrets set in at any place. So it learns values and neighbours, not the patterns' verdict.
+value, all Outside, but for those that may be secrets; in both, invented secrets set in at any place. So it learns values and neighbours, not the patterns' verdict.
 
 Viterbi is exact and cheap: a word is settled as Outside when no neighbours could make Begin or Inside
 pay (swapping it to Outside improves every path); only the runs between such words are decoded, each
@@ -183,10 +183,13 @@ def _chains(text: str, secret: list[tuple[int, int]] | None) -> Iterator[tuple[n
     for a, b in secret or ():
         hit = np.flatnonzero((begin < b) & (stop > a))
         y[hit] = np.where(np.arange(len(hit)) == 0, 1, 2)
+    unknown = (x[:, 8] > 0) & (x[:, 26] == 0) & (y == 0)  # rich words that no pattern finds may be secrets: they teach nothing
     likely = x[:, 6] + x[:, 8] + x[:, 10] + x[:, 11] + x[:, 15] + x[:, 16] + x[:, 18] + x[:, 5]
-    middles = np.flatnonzero(y == 1)[:CHAINS] if secret is not None else np.argsort(-likely, kind="stable")[: CHAINS - 1]
+    middles = np.flatnonzero(y == 1)[:CHAINS] if secret is not None else np.argsort(-likely * ~unknown, kind="stable")[: CHAINS - 1]
     for i in dict.fromkeys([*(max(0, int(i) - CHAIN // 2) for i in middles), len(x) // 2 // CHAIN * CHAIN]):
         part = slice(i, i + CHAIN)
+        if secret is None and unknown[part].any():
+            continue
         short = CHAIN - len(x[part])
         yield np.pad(x[part], ((0, short), (0, 0))), np.pad(y[part], (0, short))
 
