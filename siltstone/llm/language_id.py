@@ -67,7 +67,7 @@ def _signs(points: np.ndarray, dims: int) -> np.ndarray:
     """The letters' vectors, one row each."""
     blocks = np.arange(dims // 64, dtype=np.uint64) + np.uint64(1)
     bits = mix(mix(points.astype(np.uint64) + np.uint64(77))[:, None] + blocks[None, :] * np.uint64(0xD1342543DE82EF95))
-    return np.unpackbits(bits.view(np.uint8).reshape(len(points), -1), axis=1).astype(np.int8) * 2 - 1
+    return np.unpackbits(bits.view(np.uint8).reshape(len(points), dims // 8), axis=1).astype(np.int8) * 2 - 1
 
 
 def gram_vectors(grams: np.ndarray, dims: int) -> np.ndarray:
