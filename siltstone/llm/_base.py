@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _OWN_DIR: list[str] = []
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,7 +29,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     never recomputes what came before, and later jobs do not repeat the work."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_ROWS)
+    spark.conf.set(_ROWS, min(int(before), 1000) if int(before) > 0 else 1000)  # texts and packed rows are large: small batches to and from Python
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

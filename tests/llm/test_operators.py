@@ -434,7 +434,7 @@ def test_scores_do_not_depend_on_partitions(spark, docs):
 def test_mixer_against_plain_arithmetic():
     """Mixing, one step of learning and the cost of a bit, each by hand for every bit."""
     rng = np.random.default_rng(3)
-    counts = rng.integers(0, 9, (context_mixing.TABLES, 1 << context_mixing.BITS, 2)).astype(np.float32)
+    counts = [rng.integers(0, 9, (1 << n, 2)).astype(np.float32) for n in context_mixing.BITS]
     words, t = _lm_words("a b c a b c q", "c b a")
     b = context_mixing.bits(t, words)
     mixer = context_mixing.Mixer.of(counts)
@@ -443,9 +443,9 @@ def test_mixer_against_plain_arithmetic():
     mixer.learn(odds, gate, b.bits, rate=0.3)
     step = np.zeros_like(start)
     for j in range(len(b.bits)):
-        x = [math.log((counts[k, b.slots[k][j], 1] + 0.4) / (counts[k, b.slots[k][j], 0] + 0.4)) for k in range(2)] + [4.0 * b.match[j]]
+        x = [math.log((counts[k][b.slots[k][j], 1] + 0.4) / (counts[k][b.slots[k][j], 0] + 0.4)) for k in range(2)] + [4.0 * b.match[j]]
         assert np.allclose(x, odds[:, j], atol=2e-3)
-        level = sum(counts[1, b.slots[1][j]].sum() >= e for e in (1, 4, 32))
+        level = sum(counts[1][b.slots[1][j]].sum() >= e for e in (1, 4, 32))
         assert gate[j] == b.gates[j] + level
         p = 1 / (1 + math.exp(-sum(w * v for w, v in zip(start[gate[j]], x, strict=True))))
         step[gate[j]] += [(b.bits[j] - p) * v for v in x]
