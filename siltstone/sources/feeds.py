@@ -8,12 +8,14 @@ from siltstone.functions.text import canonical_url, clean_html, entry_category,
 from siltstone.operators.dedup import keep_first
 
 def _placed(df: DataFrame) -> DataFrame:
-    """With `pos`, the order of reading: file, then place in it."""
-    return df.withColumn("pos", F.monotonically_increasing_id())
+    """With the order of reading: file by name, block of the file, and `pos`, the place in it. Spark reads large files
+    first, so `pos` alone, or the number of the task, says nothing about files."""
+    return df.withColumns({"pos": F.monotonically_increasing_id(), "_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
 
 
 def _first(df: DataFrame) -> DataFrame:
-    return keep_first(df, ["source", "url"], ["pos"])
+    order = [c for c in ("_file", "_block", "pos") if c in df.columns]
+    return keep_first(df, ["source", "url"], order).drop("_file", "_block")
 
 
 def rss(spark: SparkSession, path: str, source: str, category: str, prefix: str | None = None, replace: tuple[str, str] | None = None) -> DataFrame:
@@ -22,7 +24,7 @@ def rss(spark: SparkSession, path: str, source: str, category: str, prefix: str
     raw = _placed(spark.read.format("xml").option("rowTag", "item").schema(schema).load(path))
     url = canonical_url(strip(F.col("link")), prefix, replace)
     tag = F.get("category", F.lit(0))
-    out = raw.select(F.lit(source).alias("source"), strip(F.col("title")).alias("title"), url.alias("url"), parse_time(F.col("pubDate")).alias("published_at"), F.substring(clean_html(F.coalesce("description", F.lit(""))), 1, 500).alias("summary"), entry_category(tag, F.lit(category)).alias("feed_category"), "pos")
+    out = raw.select(F.lit(source).alias("source"), strip(F.col("title")).alias("title"), url.alias("url"), parse_time(F.col("pubDate")).alias("published_at"), F.substring(clean_html(F.coalesce("description", F.lit(""))), 1, 500).alias("summary"), entry_category(tag, F.lit(category)).alias("feed_category"), "pos", "_file", "_block")
     return _first(out.where("title != '' and url is not null and url != ''"))
 
 
@@ -45,5 +47,5 @@ def sitemap(spark: SparkSession, path: str, source: str, category: str) -> DataF
     schema = "loc string, `news:news` struct<`news:title`: string, `news:publication_date`: string>"
     raw = _placed(spark.read.format("xml").option("rowTag", "url").schema(schema).load(path))
     date: Column = strip(F.col("`news:news`.`news:publication_date`"))
-    out = raw.select(F.lit(source).alias("source"), strip(F.col("`news:news`.`news:title`")).alias("title"), strip(F.col("loc")).alias("url"), noon_bump(parse_time(date), date).alias("published_at"), F.lit("").alias("summary"), F.lit(category).alias("feed_category"), "pos")
+    out = raw.select(F.lit(source).alias("source"), strip(F.col("`news:news`.`news:title`")).alias("title"), strip(F.col("loc")).alias("url"), noon_bump(parse_time(date), date).alias("published_at"), F.lit("").alias("summary"), F.lit(category).alias("feed_category"), "pos", "_file", "_block")
     return _first(out.where("url != ''")).where("title != ''")

@@ -127,3 +127,13 @@ def test_hashed_embedding_pairs_are_all_pairs(spark, tmp_path):
     assert min(want.values()) < 0.8 and max(want.values()) >= 0.98
     got = slate.QUERIES["hashed_embedding_pairs"](spark, str(tmp_path)).collect()
     assert {(r.a, r.b): round(r.sim, 9) for r in got} == want
+
+
+def test_first_of_a_url_is_that_of_the_first_file(spark, tmp_path):
+    """Spark reads large files first; the first file by name counts all the same."""
+    from siltstone.sources import feeds
+
+    item = lambda title, more: f"<item><title>{title}</title><link>http://x/1</link><description>{more}</description></item>"
+    (tmp_path / "a.xml").write_text(f"<rss><channel>{item('first', 'a')}</channel></rss>")
+    (tmp_path / "b.xml").write_text(f"<rss><channel>{item('second', 'b' * 20000)}{item('third', 'c')}</channel></rss>")
+    assert [r.title for r in feeds.rss(spark, str(tmp_path), "s", "news").collect()] == ["first"]
