@@ -109,7 +109,7 @@ def clean_content(df: DataFrame, source: str = "text", out: str = "content", rul
     df = df.withColumn("_lines", pinned(late_cut(F.col("_lines"), rules)))
     df = df.withColumn("_lines", pinned(_trimmed(F.col("_lines"))))
     text = strip_html(paragraphs(F.array_join("_lines", "\n")))
-    return df.withColumn(out, strip(F.substring(text, 1, rules.most_chars))).drop("_lines")
+    return df.withColumn(out, pinned(strip(F.substring(text, 1, rules.most_chars)))).drop("_lines")  # gate, hash and length read it
 
 
 def quality_reason(content: Column, rules: RuleSet = NEWS) -> Column:
