@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.llm._base import LOWER, bucket_count, by_bucket, dealt, discard, forest, grow, in_buckets, in_bytes, mix, offsets_of, ragged, run_hashes, settle, shrink, span_hashes, word_spans, words_of
+from siltstone.llm._base import LOWER, bucket_count, by_bucket, dealt, discard, forest, grow, in_buckets, in_bytes, mix, offsets_of, ragged, run_hashes, settle, shrink, shuffled, span_hashes, word_spans, words_of
 
 SHINGLE = 5
 #: Bytes of sets in a block of a family that one task compares at once.
@@ -273,7 +273,7 @@ def families(sets: DataFrame, buckets: int) -> DataFrame:
     share, so a passage that many documents have joins only documents that consist of such, and segments that only its own
     family has cost nothing. Costs travel as one byte for each segment that another family has."""
     named = sketched(sets, buckets).select(F.col("id").alias("node"), F.col("component").alias("label"))
-    sets = settle(sets.select("node", "items").join(named, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled-sets")
+    sets = settle(sets.select("node", "items").join(shuffled(named), "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled-sets")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "items", most=4 << 20):
@@ -340,10 +340,10 @@ def families(sets: DataFrame, buckets: int) -> DataFrame:
 
     spent = _tally(dealt(sets.mapInArrow(pack, _THREE), buckets).mapInArrow(costs, _TWO), buckets, _classes, "key long, classes binary")
     spent = spent.groupBy(F.shiftright("key", 1).alias("node")).agg(F.max(F.when(F.col("key") % 2 == 0, F.col("classes"))).alias("k0"), F.max(F.when(F.col("key") % 2 != 0, F.col("classes"))).alias("k1"))
-    asked = sets.join(spent, "node", "left").select("node", "items", "label", "k0", "k1").mapInArrow(send, _THREE)
+    asked = sets.join(shuffled(spent), "node", "left").select("node", "items", "label", "k0", "k1").mapInArrow(send, _THREE)
     edges = dealt(dealt(asked, buckets).mapInArrow(stars, _TWO), buckets).mapInArrow(joined, "a long, b long")
     more = components(edges).select(F.col("id").alias("label"), "component")
-    return settle(sets.select("node", "label").join(more, "label", "left").select("node", F.coalesce("component", "label").alias("family")), "families")
+    return settle(sets.select("node", "label").join(shuffled(more), "label", "left").select("node", F.coalesce("component", "label").alias("family")), "families")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -353,9 +353,9 @@ def components(edges: DataFrame) -> DataFrame:
     links = settle(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
     labels = settle(links.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
     while True:
-        near = links.join(labels, links.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
+        near = links.join(shuffled(labels), links.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
         jump = labels.select(F.col("id").alias("component"), F.col("component").alias("far"))
-        new = labels.join(near, "id").join(jump, "component").select("id", F.least("near", "far", "component").alias("new"), (F.least("near", "far") < F.col("component")).alias("moved"))
+        new = labels.join(shuffled(near), "id").join(shuffled(jump), "component").select("id", F.least("near", "far", "component").alias("new"), (F.least("near", "far") < F.col("component")).alias("moved"))
         new = settle(new, "labels")
         moved = new.where("moved").limit(1).count()
         discard(labels)
@@ -406,15 +406,21 @@ def search(items: list[np.ndarray]) -> np.ndarray:
     return root
 
 
+def met(small: DataFrame, name: str) -> DataFrame:
+    """`small`, written once, for a join: known to all tasks if it was counted to have at most COPIES rows, else shuffled."""
+    small = settle(small, name)
+    return F.broadcast(small) if small.limit(COPIES + 1).count() <= COPIES else shuffled(small)
+
+
 def linked(sets: DataFrame, grouped: DataFrame) -> DataFrame:
     """Edges (a, b) of documents that connect each family as its links do. A family beyond BLOCK bytes is cut into blocks by
     hash; each is searched together with the first, which joins nearly all of a family of near copies. Only documents
     outside its largest component are then compared with every block, so work grows with the family, not its square."""
-    heavy = grouped.join(sets.select("node", "doc_id", F.length("items").alias("size")), "node")
+    heavy = grouped.join(shuffled(sets.select("node", "doc_id", F.length("items").alias("size"))), "node")
     total = heavy.groupBy("family").agg(F.count("*").alias("n"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")).where("n > 1").drop("n")
-    placed = heavy.join(total, "family").select("family", "node", "doc_id", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+    placed = heavy.join(met(total, "large-totals"), "family").select("family", "node", "doc_id", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
     placed = settle(placed, "placed-sets")
-    with_items = lambda rows: rows.join(sets.select("node", "items"), "node")
+    with_items = lambda rows: rows.join(shuffled(sets.select("node", "items")), "node")
     first = (F.col("block") == 0) & (F.col("blocks") > 1)
     turns = F.when(first, F.sequence(F.lit(1), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("block"))
 
@@ -430,11 +436,11 @@ def linked(sets: DataFrame, grouped: DataFrame) -> DataFrame:
     if large.isEmpty():
         return edges
     labels = components(edges).select(F.col("id").alias("doc_id"), "component")
-    large = large.join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    large = large.join(shuffled(labels), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     large = settle(large, "large-families")
     most = large.groupBy("family", "component").agg(F.count("*").alias("n")).groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("most"))
-    rest = large.join(most, "family").where("component != most").drop("most")
-    parts = rest.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("parts"))
+    rest = large.join(met(most, "largest-components"), "family").where("component != most").drop("most")
+    parts = met(rest.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("parts")), "parts")
     if parts.isEmpty():
         return edges
     span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -495,26 +501,26 @@ def classes(docs: DataFrame) -> DataFrame:
             items = [sets[a:b].tobytes() for a, b in zip(offsets[:-1][open_], offsets[1:][open_], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(_ids(batch)[open_]), pa.array(items, pa.binary())], names=["doc_id", "items"])
 
-    reps = times.join(groups.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    own = rows.join(reps, "doc_id").dropDuplicates(["doc_id", "text"])  # repeated rows are one set
+    reps = times.join(shuffled(groups.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    own = rows.join(met(reps, "asked-documents"), "doc_id").dropDuplicates(["doc_id", "text"])  # repeated rows are one set
     sets = settle(own.select("doc_id", "text", "times").mapInArrow(build, "doc_id long, items binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
     edges = linked(sets, families(sets, buckets))
 
     several = some.groupBy("doc_id").agg(F.count_distinct(*key).alias("k"), F.count("*").alias("n")).where("n > 1")  # documents of several rows
     many = several
-    ties = some.join(many.where("k > 1").select("doc_id"), "doc_id").join(groups, key).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
+    ties = some.join(shuffled(many.where("k > 1").select("doc_id")), "doc_id").join(shuffled(groups), key).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a != b")
     labels = components(edges.union(ties)).select(F.col("id").alias("rep"), "component")
-    named = groups.join(labels, "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"), "n")
+    named = groups.join(shuffled(labels), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"), "n")
     named = settle(named, "named-sets")
     hot = F.broadcast(named.where(F.col("n") >= max(2, -(-total // COPIES))).select(*key, F.col("component").alias("hot")))  # at most COPIES rows
     out = facts.join(hot, key, "left")
-    rest = out.where("hot is null").join(named.select(*key, "component"), key, "left")
+    rest = out.where("hot is null").join(shuffled(named.select(*key, "component")), key, "left")
     out = out.where("hot is not null").withColumn("component", F.col("hot")).unionByName(rest)
     out = out.withColumn("component", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component")))
-    blank = facts.where("doc_id is not null and n_shingles = 0").join(some.select("doc_id").distinct(), "doc_id", "left_semi")
+    blank = facts.where("doc_id is not null and n_shingles = 0").join(shuffled(some.select("doc_id").distinct()), "doc_id", "left_semi")
     if not blank.isEmpty():  # a document with blank rows beside others
-        other = out.where("component is not null").join(blank.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component").alias("own"))
-        out = out.join(other, "doc_id", "left").withColumn("component", F.coalesce("component", "own"))
+        other = out.where("component is not null").join(shuffled(blank.select("doc_id").distinct()), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component").alias("own"))
+        out = out.join(shuffled(other), "doc_id", "left").withColumn("component", F.coalesce("component", "own"))
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 

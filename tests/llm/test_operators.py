@@ -476,6 +476,19 @@ def test_ngram_join_of_repeated_rows(spark):
     assert got == linked(rows) and sum(i != c for i, _, c in got) == 28
 
 
+def test_ngram_join_sends_no_table_of_the_corpus_to_all_tasks(spark, docs, monkeypatch):
+    """Small files are no reason to broadcast what grows with the corpus: only what was counted or is bounded."""
+    plans = []
+    write = ngram_join.settle
+    monkeypatch.setattr(ngram_join, "COPIES", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 2000)
+    monkeypatch.setattr(ngram_join, "settle", lambda df, name: plans.append((name, df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin"))) or write(df, name))
+    out = ngram_join.op6(docs)
+    assert key(out.collect(), "doc_id", "n_shingles", "component_id") == linked(corpus())
+    assert [x for x in plans if x[1] and x[0] != "parts"] == [] and len(plans) > 10  # that of "parts" was counted to have one row
+    assert out._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") <= 2  # that of the bounded groups, in both parts of the union
+
+
 def test_decontamination_of_short_cased_and_edited_copies(spark):
     """Short items inside longer texts, copies in other cases, and a verbatim or refilled passage with one slot edited."""
     item = "Maria buys two crates of ripe apples and then walks slowly with Peter to the market where she sells two crates again for cash"
