@@ -527,10 +527,11 @@ def classes(docs: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with one document of each component, its smallest doc_id, and one of its rows with equal texts; rows with a
     null doc_id or without a word stay."""
-    found = classes(docs)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
+    found = settle(classes(docs), "classes")
+    gone = met(found.where("doc_id != component_id").select("doc_id").distinct(), "gone")
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     again = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = met(again, "repeated")
     if again.isEmpty():
         return kept
     worded = F.size(words_of(F.col("text"))) > 0

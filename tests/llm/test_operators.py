@@ -489,6 +489,15 @@ def test_ngram_join_sends_no_table_of_the_corpus_to_all_tasks(spark, docs, monke
     assert out._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin") <= 2  # that of the bounded groups, in both parts of the union
 
 
+def test_first_of_each_sends_no_table_of_the_corpus_to_all_tasks(spark, docs, monkeypatch):
+    """What the pipeline's second stage drops, and repeated ids, meet the texts in joins that shuffle once they are many."""
+    want = key(ngram_join.first_of_each(docs).collect(), "doc_id", "text")
+    monkeypatch.setattr(ngram_join, "COPIES", 1)
+    out = ngram_join.first_of_each(docs)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert key(out.collect(), "doc_id", "text") == want
+
+
 def test_decontamination_of_short_cased_and_edited_copies(spark):
     """Short items inside longer texts, copies in other cases, and a verbatim or refilled passage with one slot edited."""
     item = "Maria buys two crates of ripe apples and then walks slowly with Peter to the market where she sells two crates again for cash"
