@@ -9,13 +9,13 @@ other numbers or names is caught, and unrelated texts that share only a frame ar
 contaminated by an item when its consistent alignments hold at least half of the item's windows, or
 LONG windows (WIDTH + LONG - 1 words).
 
-That is the rule of the query's SQL, and op9 keeps to it. All else (`whole`, the default: `flagged`, `clean` and so the
-pipeline) judges what does not reach that once more, by more windows: those of tokens in which a capital makes no name,
-so that copies in capitals, title case or lower case meet their item; and of an alignment that is not consistent
-throughout, its longest consistent run and the windows whose slots equal the item's.
+That is the rule of the query's SQL. What does not reach it is judged once more, by more windows: those of tokens in
+which a capital makes no name, so that copies in capitals, title case or lower case meet their item; and of an alignment
+that is not consistent throughout, its longest consistent run and the windows whose slots equal the item's. There is one
+search: each hit says how many windows it has by the SQL's rule too, and the query's digest is made from those.
 
-Items with fewer than WIDTH words are one window each, of all their tokens, and if `whole` documents have
-windows of each such length that the benchmark has. Windows made of placeholders alone carry no text and are not used.
+Items with fewer than WIDTH words are one window each, of all their tokens, and documents have
+windows of each such length that the benchmark has (inside longer texts, not in the SQL's rule). Windows made of placeholders alone carry no text and are not used.
 
 Defined cases: null or blank texts have no windows and are clean; null doc_id is kept and answered;
 items with null item_id or blank text are ignored; of items of equal templates and slots the least
@@ -94,19 +94,18 @@ def _runs(rows: DataFrame, name: str, widths: list[int]) -> DataFrame:
     return out
 
 
-def windows(rows: DataFrame, keep: list[str], short: list[int] | None = None, whole: bool = True) -> DataFrame:
+def windows(rows: DataFrame, keep: list[str], short: list[int] | None = None) -> DataFrame:
     """One row for each window: `keep`, its place `at`, its `width`, its hash `h`, whether it is `folded` (a capital makes
     no name in it), and the text's arrays `t` and `low`. A text of fewer than WIDTH tokens is one window. Windows of the
-    lengths `short` are added. Folded windows, made if `whole`, are those that have a name unfolded. The arrays stay by
+    lengths `short` are added. Folded windows are those that have a name unfolded. The arrays stay by
     reference until a join has picked the rows; only what it picks is copied."""
     brief = list(range(1, WIDTH))
     out = rows.withColumns({"_n": F.size("t"), "_h1": pinned(F.transform("t", lambda x: F.xxhash64(x)))})
-    if whole:
-        fold = F.zip_with("t", "low", lambda t, low: F.xxhash64(F.when(t == "<p>", low).otherwise(t)))
-        out = out.withColumn("_f1", pinned(F.when(F.array_contains("t", "<p>"), fold).otherwise(F.col("_h1"))))
+    fold = F.zip_with("t", "low", lambda t, low: F.xxhash64(F.when(t == "<p>", low).otherwise(t)))
+    out = out.withColumn("_f1", pinned(F.when(F.array_contains("t", "<p>"), fold).otherwise(F.col("_h1"))))
     none = F.array().cast("array<bigint>")
     pieces = []
-    for name, folded in (("_h", False), ("_f", True))[: 2 if whole else 1]:
+    for name, folded in (("_h", False), ("_f", True)):
         out = _runs(out, name, [WIDTH, *(short or [])])
         # a text shorter than a window is hashed whole, token by token in the order of _runs
         single = F.lit(None).cast("bigint")
@@ -123,8 +122,6 @@ def windows(rows: DataFrame, keep: list[str], short: list[int] | None = None, wh
         if suffix != "w":
             made = F.when(F.col("_n") > width, made).otherwise(F.slice(made, 1, 0))
         listed.append(made)
-    if len(listed) == 1:  # one kind of window: hashes alone, by place
-        return out.select(*keep, "t", "low", F.least(F.col("_n"), F.lit(WIDTH)).alias("width"), F.posexplode("_hw").alias("at", "h")).withColumn("folded", F.lit(False))
     out = out.withColumn("_windows", pinned(F.concat(*listed)))
     return out.select(*keep, "t", "low", F.explode("_windows").alias("x")).select(*keep, "t", "low", "x.*")
 
@@ -166,43 +163,46 @@ def _longest(places: Column, slots: Column) -> tuple[Column, Column]:
     return clashes, F.aggregate(F.transform(places, run), F.array().cast("array<int>"), lambda best, x: F.when(F.size(x) > F.size(best), x).otherwise(best))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, most_broadcast: int = 200_000, whole: bool = True) -> DataFrame:
-    """(doc_id, text_hash, item_id, n_windows) of every contaminating item; item_id is the least of equal items."""
+def hits(docs: DataFrame, benchmark: DataFrame, most_broadcast: int = 200_000) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_windows, n_plain) of every contaminating item; item_id is the least of equal items, n_plain
+    the number of windows by the rule of the SQL, null where that does not reach."""
     items = templated(benchmark.select("item_id", "text").where("item_id is not null")).groupBy("t", "low").agg(F.min("item_id").alias("item_id"))
     items = settle(items, "benchmark-items")
-    short = sorted(r.n for r in items.select(F.size("t").alias("n")).where(f"n > 0 and n < {WIDTH}").distinct().collect()) if whole else []
-    made = _cut(windows(items, ["item_id"], whole=whole))
+    short = sorted(r.n for r in items.select(F.size("t").alias("n")).where(f"n > 0 and n < {WIDTH}").distinct().collect())
+    made = _cut(windows(items, ["item_id"]))
     of = made.groupBy("item_id").agg(F.count_if(~F.col("folded")).cast("int").alias("of"), F.countDistinct("at").cast("int").alias("of_all"))
     known = made.join(of, "item_id").select("item_id", "of", "of_all", F.col("at").alias("b_at"), "h", F.col("wt").alias("b_wt"), F.col("v").alias("b_v"), F.col("s").alias("b_s"), F.col("folded").alias("b_folded"))
     known = settle(known, "benchmark-windows")
-    rows = windows(templated(docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))), ["doc_id", "text_hash"], short, whole)
+    rows = windows(templated(docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))), ["doc_id", "text_hash"], short)
     some = rows.join(sized(known.select("h").distinct(), 10 * most_broadcast), "h", "left_semi")  # hashes alone, before tokens are cut
+    some = some.withColumn("inner", F.col("width") < F.least(F.size("t"), F.lit(WIDTH)))  # a short window inside a longer text
     met = _cut(some).drop("s").join(sized(known, most_broadcast), "h").where(F.col("wt") == F.col("b_wt"))
-    plain = ~F.col("folded") & ~F.col("b_folded")
+    plain = ~F.col("folded") & ~F.col("b_folded") & ~F.col("inner")
     pairs = F.arrays_zip(F.col("b_v").alias("b"), F.col("v").alias("d"))
     by = ["doc_id", "text_hash", "item_id", "of", "of_all", (F.col("at") - F.col("b_at")).alias("shift")]
     made = [F.collect_set(F.when(plain, F.col("b_at"))).alias("places"), F.array_distinct(F.flatten(F.collect_set(F.when(plain, pairs)))).alias("slots")]
-    if whole:
-        spots = F.arrays_zip(F.col("b_s").alias("p"), F.col("b_v").alias("b"), F.col("v").alias("d"))
-        made += [F.sort_array(F.collect_set("b_at")).alias("all_places"), F.array_distinct(F.flatten(F.collect_set(spots))).alias("all_slots"), F.collect_set(F.when(F.col("b_v") == F.col("v"), F.col("b_at"))).alias("equal")]
+    spots = F.arrays_zip(F.col("b_s").alias("p"), F.col("b_v").alias("b"), F.col("v").alias("d"))
+    made += [F.sort_array(F.collect_set("b_at")).alias("all_places"), F.array_distinct(F.flatten(F.collect_set(spots))).alias("all_slots"), F.collect_set(F.when(F.col("b_v") == F.col("v"), F.col("b_at"))).alias("equal")]
     line = met.groupBy(*by).agg(*made)
     same = F.size("slots") == F.size(F.array_distinct(F.col("slots.b")))
     count = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
     enough = lambda n, of: (F.col(n) > 0) & ((2 * F.col(n) >= F.col(of)) | (F.col(n) >= LONG))
-    if not whole:
-        found = line.where(same).groupBy("doc_id", "text_hash", "item_id", "of").agg(count("places").alias("n_windows"))
-        return found.where(enough("n_windows", "of")).drop("of")
     clashes, longest = _longest(F.col("all_places"), F.col("all_slots"))
     line = line.withColumn("places", F.when(same, F.col("places")).otherwise(F.array().cast("array<int>"))).withColumn("_clashes", pinned(clashes))
     line = line.withColumn("all_places", F.when(F.size("_clashes") == 0, F.col("all_places")).otherwise(F.concat("equal", "places", longest)))
     found = line.groupBy("doc_id", "text_hash", "item_id", "of", "of_all").agg(count("places").alias("n"), count("all_places").alias("n_all"))
-    found = found.withColumn("n_windows", F.when(enough("n", "of"), F.col("n")).when(enough("n_all", "of_all"), F.col("n_all")))
-    return found.where("n_windows is not null").select("doc_id", "text_hash", "item_id", "n_windows")
+    found = found.withColumn("n_plain", F.when(enough("n", "of"), F.col("n")))
+    found = found.withColumn("n_windows", F.coalesce("n_plain", F.when(enough("n_all", "of_all"), F.col("n_all"))))
+    return found.where("n_windows is not null").select("doc_id", "text_hash", "item_id", "n_windows", "n_plain")
 
 
-def flagged(docs: DataFrame, benchmark: DataFrame, whole: bool = True) -> DataFrame:
+def flagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each row of `docs`: doc_id, contaminated, and the items that contaminate it, in order."""
-    by_doc = hits(docs, benchmark, whole=whole).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.sort_array(F.collect_list("item_id")).alias("items"), F.max("n_windows").alias("n_windows"))
+    return _digest(docs, hits(docs, benchmark))
+
+
+def _digest(docs: DataFrame, found: DataFrame) -> DataFrame:
+    by_doc = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.sort_array(F.collect_list("item_id")).alias("items"), F.max("n_windows").alias("n_windows"))
     each = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
     out = each.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
     return out.select("doc_id", F.col("_hash").isNotNull().alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("n_windows", F.lit(0)).cast("long").alias("n_windows"), F.coalesce(F.array_join("items", ","), F.lit("")).alias("items"))
@@ -215,8 +215,9 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op9(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The query's digest, by the rule of its SQL."""
-    return flagged(docs, benchmark, whole=False)
+    """The query's digest: of all hits, those that reach by the rule of its SQL."""
+    found = hits(docs, benchmark).where("n_plain is not null")
+    return _digest(docs, found.select("doc_id", "text_hash", "item_id", F.col("n_plain").alias("n_windows")))
 
 
 def _sql_windows(table: str, key: str) -> str:

@@ -511,3 +511,15 @@ def test_decontamination_of_short_cased_and_edited_copies(spark):
     got = {r.doc_id: r.items for r in decontaminate.flagged(docs, bench).collect()}
     assert got == {0: "2", 1: "1", 2: "1", 3: "1", 4: "1", 5: "1", 6: "", 7: "", 8: "2"}
     assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {6, 7}
+
+
+def test_one_search_answers_the_query_and_the_whole_rule(spark):
+    """The query's rows come from the operator's own hits, each with its count by the SQL's rule; what only the whole rule finds has none."""
+    item = "Maria buys two crates of ripe apples and then walks slowly with Peter to the market where she sells two crates again for cash"
+    texts = [f"so {item} there", f"so {item.upper()} there", "so tiny item here are more than eight words now", "tiny item", "nothing"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "Tiny item.")], "item_id long, text string")
+    found = {r.doc_id: (r.item_id, r.n_windows > 0, r.n_plain) for r in decontaminate.hits(docs, bench).collect()}
+    assert {i: (x[0], x[1], x[2] is not None) for i, x in found.items()} == {0: (1, True, True), 1: (1, True, False), 2: (2, True, False), 3: (2, True, True)}
+    got = {r.doc_id: (r.n_windows, r.items) for r in decontaminate.op9(docs, bench).collect()}
+    assert got == {0: (found[0][2], "1"), 1: (0, ""), 2: (0, ""), 3: (1, "2"), 4: (0, "")}
