@@ -14,11 +14,12 @@ with the SPAN tokens that follow. What follows an anchor seen twice or more is i
 out by hash, grow with the corpus, and meet the documents that hold them there. So passages and documents that occur
 twice are told apart at any size.
 
-Weights and refining table are learned online, text by text, from a bounded sample: the SAMPLE training documents of least hash
-of their id, in that order, predicted from counts without the sample's own. So scores depend on the data alone, not on partitions.
+Weights and refining table are learned from all training texts, each predicted from counts without its own: one step of Newton's
+method for the coding cost, gate by gate, and the shares of ones. Both are sums of whole numbers, so scores depend on the data
+alone, not on partitions. The step starts where online learning from the SAMPLE training documents of least hash of their id ends.
 
 Fixed bounds: tables of 2 ** 20 and 2 ** 22 slots, words with at least one in 2 ** 20 of all tokens (so at most 2 ** 20), anchors with at least one
-in 2 ** 16 of all anchors (at most 2 ** 16) are sent to all tasks; the sample is SAMPLE whole texts.
+in 2 ** 16 of all anchors (at most 2 ** 16) are sent to all tasks; the step starts from SAMPLE whole texts.
 The counts of other words stay dealt out by hash and meet the tokens that ask for them there, packed.
 
 Defined cases: null text counts as empty and is one end mark; without training texts every count is 0 and every bit
@@ -46,7 +47,7 @@ BITS = (20, 22)
 TABLES, PREDICTORS = 2, 3
 #: Words of an anchor's context, one anchor in so many places, and tokens kept after it.
 CONTEXT, EVERY, SPAN = 3, 8, 12
-#: Training documents from which the weights are learned.
+#: Training documents from whose weights the step over all training texts starts.
 SAMPLE = 400
 #: Gates: spelled or not, how often the high context was seen, how long the match has held (0: no match).
 SEEN, HELD = 4, 5
@@ -315,6 +316,31 @@ _ODDS = np.arange(FINE) * 24 / (FINE - 1) - 12
 _LOGISTIC = (1 / (1 + np.exp(-_ODDS))).astype(np.float32)
 
 
+#: Parts of one in which slopes and curvatures are summed, the pairs of predictors, and what holds a weight of few bits in place.
+_GRAIN, _HOLD = 1 << 12, 200.0
+_PAIRS = [(i, j) for i in range(PREDICTORS) for j in range(i + 1)]
+
+
+def without_own(counts: list[np.ndarray], b: Bits) -> list[np.ndarray]:
+    """Each table's counts at every bit, without what the bit's own text added. `counts` change meanwhile and are put back."""
+    doc = np.repeat(b.docs, np.diff(np.append(b.first, len(b.bits))))
+    order = np.argsort(doc, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(doc[order]) != 0, [True]])) if len(doc) else np.zeros(1, np.int64)
+    out = []
+    for table, slots in zip(counts, b.slots, strict=True):
+        flat, low = table.reshape(-1), slots[order].astype(np.int64) * 2
+        own, found = low + b.bits[order], np.empty((len(low), 2), np.float32)
+        for x, y in zip(edges, edges[1:], strict=False):
+            at, kept = own[x:y], flat[own[x:y]]
+            np.subtract.at(flat, at, np.float32(1))
+            found[x:y, 0], found[x:y, 1] = flat[low[x:y]], flat[low[x:y] + 1]
+            flat[at] = kept
+        back = np.empty_like(found)
+        back[order] = np.maximum(found, 0)
+        out.append(back)
+    return out
+
+
 class Mixer:
     """Log odds of low contexts; of high ones, log odds in steps of 1 / FINER and the level in the last two bits; weights by gate, and
     the refining table."""
@@ -360,6 +386,29 @@ class Mixer:
         self.seen[..., 0] += both.sum(axis=2)
         self.seen[..., 1] += both[..., 1]
 
+    def surveyed(self, odds: np.ndarray, gate: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        """What step() reads of some bits: by gate the slope and the curvature of the coding cost, and the refining counts. Each bit
+        adds whole numbers, so sums are the same in any order."""
+        mixed = self.mixed(odds, gate)
+        p = np.take(_LOGISTIC, np.rint((mixed + 12) * ((FINE - 1) / 24)).astype(np.int32))
+        error, bend = bit - p, p * (1 - p)
+        whole = lambda x: np.bincount(gate, weights=np.rint(x * np.float32(_GRAIN)), minlength=GATES)
+        parts = [whole(error * x) for x in odds] + [whole(bend * odds[i] * odds[j]) for i, j in _PAIRS]
+        cell = gate * STEPS + np.rint((mixed + 12) * ((STEPS - 1) / 24)).astype(np.int32)
+        return np.concatenate([*parts, np.bincount(cell * 2 + bit, minlength=GATES * STEPS * 2)]).astype(np.int64)
+
+    def step(self, sums: np.ndarray) -> None:
+        """Newton's step of the weights, and the refining counts, from the sums of surveyed() over all texts."""
+        first = GATES * (PREDICTORS + len(_PAIRS))
+        slopes, bends = np.split(sums[:first] / _GRAIN, [GATES * PREDICTORS])
+        bend = np.zeros((GATES, PREDICTORS, PREDICTORS))
+        for (i, j), x in zip(_PAIRS, bends.reshape(-1, GATES), strict=True):
+            bend[:, i, j] = bend[:, j, i] = x
+        move = np.linalg.solve(bend + _HOLD * np.eye(PREDICTORS), slopes.reshape(PREDICTORS, GATES).T[..., None])[..., 0]
+        self.weights = (self.weights + np.clip(move, -0.5, 0.5)).astype(np.float32)
+        both = sums[first:].reshape(GATES, STEPS, 2).astype(np.float64)
+        self.seen = np.stack([both.sum(axis=2), both[..., 1]], axis=-1)
+
     def settle(self) -> Mixer:
         """Ready to score: refined log10 probabilities become a table."""
         prior = 1 / (1 + np.exp(-(np.arange(STEPS) * 24 / (STEPS - 1) - 12)))
@@ -644,8 +693,30 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     del without
     for b in own:
         learner.learn(*learner.inputs(b), b.bits)
+    start, all_counts = learner.weights, context.broadcast(counts)
+
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, tables = None, None
+        for batch in in_bytes(batches, most=1 << 17):
+            tables = all_counts.value if tables is None else tables
+            b = read_bits(batch)[1]
+            alone = Mixer.of(without_own(tables, b))
+            alone.weights = start
+            here = np.arange(len(b.bits))
+            part = alone.surveyed(*alone.inputs(b._replace(slots=[here] * TABLES)), b.bits)
+            sums = part if sums is None else sums + part
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+
+    learning = asked.where("learn").select("text", "places", "spans").mapInArrow(survey, "sums binary")
     mixer = Mixer.of(counts)
-    mixer.weights, mixer.seen = learner.weights, learner.seen
+    mixer.weights, total = start, None
+    for row in learning.toLocalIterator():  # one row of fixed size a task
+        part = np.frombuffer(row.sums, np.int64)
+        total = part if total is None else total + part
+    if total is not None:
+        mixer.step(total)
+    all_counts.destroy()
     shared = context.broadcast(mixer.settle())
     log_of = lambda c: np.log10((c + 0.5) / (n_all + 0.5 * (n_kinds + 1)))
 

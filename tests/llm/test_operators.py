@@ -523,3 +523,29 @@ def test_one_search_answers_the_query_and_the_whole_rule(spark):
     assert {i: (x[0], x[1], x[2] is not None) for i, x in found.items()} == {0: (1, True, True), 1: (1, True, False), 2: (2, True, False), 3: (2, True, True)}
     got = {r.doc_id: (r.n_windows, r.items) for r in decontaminate.op9(docs, bench).collect()}
     assert got == {0: (found[0][2], "1"), 1: (0, ""), 2: (0, ""), 3: (1, "2"), 4: (0, "")}
+
+
+def test_mixer_learns_from_every_training_text(spark, monkeypatch):
+    """The refining counts hold every bit of all training texts, however few texts the weights start from; each without its own counts."""
+    seen = []
+    step = context_mixing.Mixer.step
+    monkeypatch.setattr(context_mixing.Mixer, "step", lambda self, sums: (step(self, sums), seen.append((self.seen[..., 0].sum(), self.weights.copy())))[0])
+    rows = [(i, f"some words {i % 7} and others {i % 5} " * 6, None, None, None) for i in range(60)]
+    context_mixing.op10(frame(spark, rows), sample=3).collect()
+    learn = [t for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    assert len(seen) == 1 and seen[0][0] > 25 * len(learn) and len(learn) > 40
+
+    a, b = "x y z x y", "x y x"
+    known, t = _lm_words(a, b)
+    both, one = context_mixing.bits(t, known), context_mixing.bits(context_mixing.tokens(pa.array([a])), known)
+    counts = [np.zeros((1 << n, 2), np.float32) for n in context_mixing.BITS]
+    for k in range(context_mixing.TABLES):
+        np.add.at(counts[k].reshape(-1), both.slots[k].astype(np.int64) * 2 + both.bits, np.float32(1))
+    before = [c.copy() for c in counts]
+    alone = context_mixing.without_own(counts, both)
+    assert all((x == y).all() for x, y in zip(before, counts, strict=True))
+    of_b = np.repeat(both.docs, np.diff(np.append(both.first, len(both.bits)))) == 1
+    for k in range(context_mixing.TABLES):
+        only = np.zeros_like(counts[k])
+        np.add.at(only.reshape(-1), one.slots[k].astype(np.int64) * 2 + one.bits, np.float32(1))
+        assert (alone[k][of_b] == only[both.slots[k][of_b]]).all()
