@@ -708,14 +708,17 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         if sums is not None:
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
-    learning = asked.where("learn").select("text", "places", "spans").mapInArrow(survey, "sums binary")
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [sum(np.frombuffer(x, np.int64) for x in batch.column("sums").to_pylist()) for batch in batches if batch.num_rows]
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(parts).tobytes()], pa.binary())], names=["sums"])
+
+    learning = asked.where("learn").select("text", "places", "spans").mapInArrow(survey, "sums binary").repartition(TOGETHER).mapInArrow(together, "sums binary")
     mixer = Mixer.of(counts)
-    mixer.weights, total = start, None
-    for row in learning.toLocalIterator():  # one row of fixed size a task
-        part = np.frombuffer(row.sums, np.int64)
-        total = part if total is None else total + part
-    if total is not None:
-        mixer.step(total)
+    mixer.weights = start
+    parts = [np.frombuffer(r.sums, np.int64) for r in learning.collect()]  # at most TOGETHER rows of fixed size
+    if parts:
+        mixer.step(sum(parts))
     all_counts.destroy()
     shared = context.broadcast(mixer.settle())
     log_of = lambda c: np.log10((c + 0.5) / (n_all + 0.5 * (n_kinds + 1)))
