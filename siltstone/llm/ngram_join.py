@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.llm._base import LOWER, bucket_count, by_bucket, dealt, discard, forest, grow, in_buckets, in_bytes, mix, offsets_of, ragged, run_hashes, settle, shrink, shuffled, span_hashes, word_spans, words_of
+from siltstone.llm._base import LOWER, among, bucket_count, by_bucket, dealt, discard, forest, grow, in_buckets, in_bytes, mix, offsets_of, ragged, run_hashes, settle, shrink, shuffled, span_hashes, word_spans, words_of
 
 SHINGLE = 5
 #: Bytes of sets in a block of a family that one task compares at once.
@@ -70,12 +70,9 @@ while _EDGES[-1] < 1 << 40:
 EDGES = np.array(_EDGES)
 
 
-def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of all sets, the set and the scheme of each (0: own band, 1: the one below; 2 more
-    for what only sets with too few segments in use have), and for each set and
-    scheme the most shingles, H, by which a partner differs."""
-    n = np.diff(offsets)
-    sigs, owners, belows, differs = [], [], [], []
+def _schemes(sets: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """For both schemes of sets of n shingles: each set's scheme, whether it is used, the most shingles by which a partner
+    differs and the number of segments; each shingle's set, hash and segment."""
     band = np.searchsorted(EDGES, n, "right") - 1
     for below in (0, 1):
         scheme = band - below
@@ -86,7 +83,16 @@ def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         segments = np.where(top > 4, (2 * top + 4) // 5 + 1, 1)
         doc = np.repeat(np.arange(len(n)), np.where(used, n, 0))
         x = sets[np.repeat(used, n)]
-        at = (mix(x) % segments[doc].astype(np.uint64)).astype(np.int64)
+        yield scheme, used, differ, segments, doc, x, (mix(x) % segments[doc].astype(np.uint64)).astype(np.int64)
+
+
+def signatures(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of all sets, the set and the scheme of each (0: own band, 1: the one below; 2 more
+    for what only sets with too few segments in use have), and for each set and
+    scheme the most shingles, H, by which a partner differs."""
+    n = np.diff(offsets)
+    sigs, owners, belows, differs = [], [], [], []
+    for below, (scheme, used, differ, segments, doc, x, at) in enumerate(_schemes(sets, n)):
         order = np.lexsort((at, doc))
         doc, at, x = doc[order], at[order], mix(x[order] ^ _SALT)
         first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])])) if len(doc) else np.zeros(0, np.int64)
@@ -123,6 +129,18 @@ def needs(owner: np.ndarray, below: np.ndarray, differ: np.ndarray) -> np.ndarra
     return left.min(axis=1)
 
 
+def least_needs(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """needs() of all sets, without making their signatures."""
+    left = []
+    for _, used, differ, segments, doc, _, at in _schemes(sets, np.diff(offsets)):
+        begin = np.concatenate([[0], np.cumsum(segments)])
+        taken = np.zeros(begin[-1] + 1, np.int64)
+        taken[begin[doc] + at + 1] = 1
+        taken = np.cumsum(taken)
+        left.append(np.where(used, np.maximum(taken[begin[1:]] - taken[begin[:-1]] - differ, 1), 1 << 30))
+    return np.minimum(*left)
+
+
 def _prints(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit fingerprints of each set."""
     out = []
@@ -141,7 +159,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_bytes(batches):
         sets, offsets = shingle_sets(batch.column("text"))
         a, b = _prints(sets, offsets)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (np.diff(offsets), a, b))], names=["doc_id", "n_shingles", "f1", "f2"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, (np.diff(offsets), a, b, least_needs(sets, offsets)))], names=["doc_id", "n_shingles", "f1", "f2", "need"])
 
 
 def _rows(bucket: np.ndarray, *columns) -> pa.RecordBatch:
@@ -481,12 +499,12 @@ def classes(docs: DataFrame) -> DataFrame:
     all rows, at most COPIES of them, are sent to all tasks, so their rows neither send signatures nor meet in one task."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = settle(rows.mapInArrow(_measure, "doc_id long, n_shingles long, f1 long, f2 long"), "shingle-facts")
+    facts = settle(rows.mapInArrow(_measure, "doc_id long, n_shingles long, f1 long, f2 long, need long"), "shingle-facts")
     total, shingles = facts.agg(F.count("*"), F.sum("n_shingles")).first()
     buckets = bucket_count(spark, shingles or 0, BUCKET)
     key = ["n_shingles", "f1", "f2"]
     some = facts.where("doc_id is not null and n_shingles > 0")
-    groups = settle(some.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "equal-sets")
+    groups = settle(some.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("need").alias("need")), "equal-sets")
     large = groups.where(F.col("n") >= max(2, -(-total // COPIES)))  # at most COPIES groups
     listed = sorted((r.f1, r.f2, r.rep) for r in large.select("f1", "f2", "rep").collect())
     copies = tuple(np.array([x[i] for x in listed], np.int64) for i in range(3))
@@ -501,8 +519,11 @@ def classes(docs: DataFrame) -> DataFrame:
             items = [sets[a:b].tobytes() for a, b in zip(offsets[:-1][open_], offsets[1:][open_], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(_ids(batch)[open_]), pa.array(items, pa.binary())], names=["doc_id", "items"])
 
-    reps = times.join(shuffled(groups.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
-    own = rows.join(met(reps, "asked-documents"), "doc_id").dropDuplicates(["doc_id", "text"])  # repeated rows are one set
+    reps = groups.groupBy(F.col("rep").alias("doc_id")).agg(F.min("need").alias("need"))
+    asked = settle(times.join(shuffled(reps), "doc_id").where("times >= need").select("doc_id", "times"), "asked-documents")
+    few = asked.limit(COPIES + 1).count() <= COPIES
+    own = rows.join(F.broadcast(asked), "doc_id") if few else among(rows, asked, "doc_id").join(shuffled(asked), "doc_id")
+    own = own.dropDuplicates(["doc_id", "text"])  # repeated rows are one set
     sets = settle(own.select("doc_id", "text", "times").mapInArrow(build, "doc_id long, items binary").withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
     edges = linked(sets, families(sets, buckets))
 

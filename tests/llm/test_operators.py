@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from siltstone.llm import bpe, context_mixing, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter
+from siltstone.llm import _base, bpe, context_mixing, decontaminate, language_id, ngram_join, quality_classifier, quality_rules, secret_scan, substring_dedup, url_filter
 from siltstone.llm.queries import tokenizer_path
 from tests.llm.cases import corpus, frame
 
@@ -549,3 +549,34 @@ def test_mixer_learns_from_every_training_text(spark, monkeypatch):
         only = np.zeros_like(counts[k])
         np.add.at(only.reshape(-1), one.slots[k].astype(np.int64) * 2 + one.bits, np.float32(1))
         assert (alone[k][of_b] == only[both.slots[k][of_b]]).all()
+
+
+def test_ngram_join_asks_for_texts_of_documents_that_may_have_a_partner_only(spark, monkeypatch):
+    """A passage that all documents have makes every one of them share signatures; only those that share enough send their texts."""
+    sent, write = {}, ngram_join.settle
+    monkeypatch.setattr(ngram_join, "settle", lambda df, name: sent.update({name: write(df, name)}) or sent[name])
+    passage = " ".join(f"common{j}" for j in range(12))
+    rows = [(i, f"{passage} " + " ".join(f"d{i}w{j}" for j in range(60)), None, None, None) for i in range(40)]
+    rows += [(40 + i, rows[i][1] + " more", None, None, None) for i in range(3)]
+    got = key(ngram_join.op6(frame(spark, rows)).collect(), "doc_id", "n_shingles", "component_id")
+    assert got == linked(rows) and sum(i != c for i, _, c in got) == 3
+    asked = {r.doc_id for r in sent["asked-documents"].collect()}
+    assert asked >= {0, 1, 2, 40, 41, 42} and len(asked) < 12
+
+
+def test_least_needs_equal_the_needs_of_signatures():
+    rng = np.random.default_rng(6)
+    n = np.array([0, 1, 2, 3, 4, 5, 8, 0, 13, 40, 200, 1000, 0])
+    offsets = np.concatenate([[0], np.cumsum(n)])
+    sets = np.concatenate([np.unique(rng.integers(1, 1 << 60, k).astype(np.uint64)) for k in n])
+    _, owner, below, differ = ngram_join.signatures(sets, offsets)
+    assert ngram_join.least_needs(sets, offsets).tolist() == ngram_join.needs(owner, below, differ).tolist()
+    assert ngram_join.least_needs(sets[:0], offsets[:1]).tolist() == []
+
+
+def test_among_keeps_every_row_that_joins_and_few_others(spark):
+    rows = spark.range(-20_000, 20_000).selectExpr("if(id = 0, null, id) doc_id", "string(id) text")
+    for keys in (spark.range(0), spark.range(-50, 3000, 7)):
+        want = keys.selectExpr("id doc_id").where("doc_id != 0")
+        got = {r.doc_id for r in _base.among(rows, want, "doc_id").collect()}
+        assert got >= {r.doc_id for r in want.collect()} and len(got) <= want.count() + 100
