@@ -580,3 +580,14 @@ def test_among_keeps_every_row_that_joins_and_few_others(spark):
         want = keys.selectExpr("id doc_id").where("doc_id != 0")
         got = {r.doc_id for r in _base.among(rows, want, "doc_id").collect()}
         assert got >= {r.doc_id for r in want.collect()} and len(got) <= want.count() + 100
+
+
+def test_substring_dedup_sends_texts_of_changed_documents_only(spark, monkeypatch):
+    """Texts meet the covered words in a shuffle; those that lose nothing stay where they are."""
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(30)), None, None, None) for i in range(40)]
+    rows += [(40 + i, f"so {rows[i][1]} more", None, None, None) for i in range(3)]
+    docs, counts = frame(spark, rows), []
+    join = type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda self, other, *a, **k: ("spans" in other.columns and counts.append(self.count())) or join(self, other, *a, **k))
+    assert key(substring_dedup.op3(docs).collect(), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(rows)
+    assert counts == [3]
