@@ -438,7 +438,7 @@ def linked(sets: DataFrame, grouped: DataFrame) -> DataFrame:
     total = heavy.groupBy("family").agg(F.count("*").alias("n"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")).where("n > 1").drop("n")
     placed = heavy.join(met(total, "large-totals"), "family").select("family", "node", "doc_id", "size", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
     placed = settle(placed, "placed-sets")
-    with_items = lambda rows: rows.join(shuffled(sets.select("node", "items")), "node")
+    with_items = lambda rows, of: rows.join(shuffled(among(sets.select("node", "items"), of, "node")), "node")
     first = (F.col("block") == 0) & (F.col("blocks") > 1)
     turns = F.when(first, F.sequence(F.lit(1), F.greatest(F.col("blocks") - 1, F.lit(1)))).otherwise(F.array("block"))
 
@@ -448,7 +448,7 @@ def linked(sets: DataFrame, grouped: DataFrame) -> DataFrame:
         ids = pdf["doc_id"].to_numpy()
         return pd.DataFrame({"a": ids[root], "b": ids})[root != np.arange(len(ids))]
 
-    rows = with_items(placed.select("family", "node", "doc_id", F.explode(turns).alias("turn")))
+    rows = with_items(placed.select("family", "node", "doc_id", F.explode(turns).alias("turn")), placed)
     edges = settle(rows.groupBy("family", "turn").applyInPandas(run, "a long, b long"), "links")
     large = placed.where("blocks > 1")
     if large.isEmpty():
@@ -471,7 +471,7 @@ def linked(sets: DataFrame, grouped: DataFrame) -> DataFrame:
         found = between([np.frombuffer(x, np.uint64) for x in asks["items"]], [np.frombuffer(x, np.uint64) for x in others["items"]], asks["component"].to_numpy(), others["component"].to_numpy())
         return pd.DataFrame(found, columns=["a", "b"])
 
-    more = with_items(asking.union(against)).groupBy("family", "part", "turn").applyInPandas(compare, "a long, b long")
+    more = with_items(asking.union(against), large).groupBy("family", "part", "turn").applyInPandas(compare, "a long, b long")
     return edges.union(settle(more, "links"))
 
 

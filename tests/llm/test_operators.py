@@ -591,3 +591,15 @@ def test_substring_dedup_sends_texts_of_changed_documents_only(spark, monkeypatc
     monkeypatch.setattr(type(docs), "join", lambda self, other, *a, **k: ("spans" in other.columns and counts.append(self.count())) or join(self, other, *a, **k))
     assert key(substring_dedup.op3(docs).collect(), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(rows)
     assert counts == [3]
+
+
+def test_ngram_join_searches_large_families_without_the_sets_of_others(spark, monkeypatch):
+    """The sets that travel to the comparison of blocks are those of families that have several."""
+    seen, cut = [], ngram_join.among
+    monkeypatch.setattr(ngram_join, "BLOCK", 4000)
+    monkeypatch.setattr(ngram_join, "among", lambda rows, keys, by: seen.append((rows.count(), (out := cut(rows, keys, by)).count())) or out)
+    base = [f"w{j}" for j in range(100)]
+    rows = [(i, " ".join(base[: 90 - 2 * i] + [f"x{i}y{j}" for j in range(10 + 2 * i)]), None, None, None) for i in range(12)]
+    rows += [(100 + 2 * i + k, " ".join(f"z{i}w{j}" for j in range(60 + k)), None, None, None) for i in range(20) for k in (0, 1)]
+    got = key(ngram_join.op6(frame(spark, rows)).collect(), "doc_id", "n_shingles", "component_id")
+    assert got == linked(rows) and seen[-1][1] < seen[-1][0] / 2 and len(seen) == 2
