@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from siltstone.llm._base import LOWER, bucket_count, by_bucket, dealt, discard, fold, grow, in_buckets, in_bytes, mix, offsets_of, ragged, run_hashes, settle, shrink, span_hashes, sum_by, word_spans
+from siltstone.llm._base import LOWER, bucket_count, by_bucket, dealt, discard, fold, grow, in_buckets, in_bytes, mix, offsets_of, ragged, run_hashes, settle, shared, shrink, span_hashes, sum_by, sweep, word_spans
 
 #: Slots of the two tables, as powers of two: a low context is one of at most 2 ** 20 words' places or of pairs of bytes.
 BITS = (20, 22)
@@ -257,31 +257,30 @@ def bits(t: Tokens, words: Words, guess: np.ndarray | None = None) -> Bits:
     doc = np.concatenate([doc, np.repeat(doc[spelled], size)])
     low = np.concatenate([low, _hash32(one, two + np.uint32(1 << 9))])
     high = np.concatenate([high, _hash32(one, two, three, four + np.uint32(1 << 10))])
-    kind = np.repeat(np.array([0, 1]), [len(symbol), m])
     pad = np.zeros(m, np.int64)
     held, valid, expected, told_size = np.concatenate([held, pad]), np.concatenate([valid, pad]), np.concatenate([expected, pad.astype(np.uint32)]), np.concatenate([told_size, pad + 1])
 
-    first = np.cumsum(length) - length
-    each = lambda x, kind=np.uint32: np.repeat(x.astype(kind), length)
-    total = int(length.sum())
-    depth = np.arange(total, dtype=np.uint32) - each(first)
-    value, rest = each(code), each(length)
-    rest -= depth
-    node = value >> rest
-    node |= np.left_shift(np.uint32(1), depth)
+    end = np.cumsum(length)
+    first = end - length
+    each = lambda x: np.repeat(x.astype(np.uint32), length)
+    total, plain = int(length.sum()), int(length[: len(symbol)].sum())
+    rest = each(end)
+    rest -= np.arange(total, dtype=np.uint32)
+    node = each(code | np.left_shift(np.uint32(1), length.astype(np.uint32)))  # a one, then the bits so far
+    bit = (node >> (rest - np.uint32(1))).astype(np.uint8) & np.uint8(1)
+    node >>= rest
     node *= np.uint32(0x9E3779B1)
     node ^= node >> np.uint32(15)
     node *= np.uint32(0xC2B2AE35)
-    node ^= each(kind * 0x5BD1E995)
-    value >>= rest - np.uint32(1)
-    bit = value.astype(np.uint8) & np.uint8(1)
+    node[plain:] ^= np.uint32(0x5BD1E995)
     slots = []
     for context, size in zip((low, high), BITS, strict=True):
         slot = each(context)
         slot ^= node
         slot >>= np.uint32(32 - size)
         slots.append(slot)
-    say, gate = np.zeros(total, np.int8), each(kind * HELD * SEEN, np.uint8)
+    say, gate = np.zeros(total, np.int8), np.zeros(total, np.uint8)
+    gate[plain:] = HELD * SEEN
     told = np.flatnonzero(valid)
     if len(told):
         where, n = ragged(first[told], valid[told]), valid[told]
@@ -323,21 +322,25 @@ _PAIRS = [(i, j) for i in range(PREDICTORS) for j in range(i + 1)]
 
 def without_own(counts: list[np.ndarray], b: Bits) -> list[np.ndarray]:
     """Each table's counts at every bit, without what the bit's own text added. `counts` change meanwhile and are put back."""
-    doc = np.repeat(b.docs, np.diff(np.append(b.first, len(b.bits))))
-    order = np.argsort(doc, kind="stable")
-    edges = np.flatnonzero(np.concatenate([[True], np.diff(doc[order]) != 0, [True]])) if len(doc) else np.zeros(1, np.int64)
-    out = []
+    edges = np.append(b.first, len(b.bits))
+    heads = np.flatnonzero(np.concatenate([np.ones(min(len(b.docs), 1), bool), b.docs[1:] != b.docs[:-1]]))
+    runs: dict[int, list[slice]] = {}  # a text's bits: those of its symbols, and those of the words it spells
+    for doc, x, y in zip(b.docs[heads].tolist(), edges[heads].tolist(), edges[np.append(heads[1:], len(b.docs))].tolist(), strict=True):
+        runs.setdefault(doc, []).append(slice(x, y))
+    ones, out = np.ones(len(b.bits), np.float32), []
     for table, slots in zip(counts, b.slots, strict=True):
-        flat, low = table.reshape(-1), slots[order].astype(np.int64) * 2
-        own, found = low + b.bits[order], np.empty((len(low), 2), np.float32)
-        for x, y in zip(edges, edges[1:], strict=False):
-            at, kept = own[x:y], flat[own[x:y]]
-            np.subtract.at(flat, at, np.float32(1))
-            found[x:y, 0], found[x:y, 1] = flat[low[x:y]], flat[low[x:y] + 1]
-            flat[at] = kept
-        back = np.empty_like(found)
-        back[order] = np.maximum(found, 0)
-        out.append(back)
+        flat, pairs, low = table.reshape(-1), table.view(np.uint64).reshape(-1), slots.astype(np.intp)
+        own, found = low * 2 + b.bits, np.empty(len(low), np.uint64)  # both counts of a slot at once
+        for mine in runs.values():
+            kept = [pairs[low[x]] for x in mine]
+            for x in mine:
+                np.subtract.at(flat, own[x], ones[x])
+            for x in mine:
+                found[x] = pairs[low[x]]
+            for x, counted in zip(mine, kept, strict=True):
+                pairs[low[x]] = counted
+        back = found.view(np.float32).reshape(-1, 2)
+        out.append(np.maximum(back, 0, out=back))
     return out
 
 
@@ -355,8 +358,14 @@ class Mixer:
     def of(cls, counts: list[np.ndarray]) -> Mixer:
         """From each table's counts by (slot, bit)."""
         low, high = (np.log(c[:, 1] + np.float32(_ADD)) - np.log(c[:, 0] + np.float32(_ADD)) for c in counts)
-        steps = np.clip(np.rint((high + _MOST) * FINER), 0, 2 * _MOST * FINER).astype(np.uint16)
-        return cls(low.astype(np.float16), steps << np.uint16(2) | np.digitize(counts[1].sum(axis=-1), _LEVELS).astype(np.uint16))
+        high += np.float32(_MOST)
+        high *= np.float32(FINER)
+        steps = np.clip(np.rint(high, out=high), 0, 2 * _MOST * FINER, out=high).astype(np.uint16)
+        steps <<= np.uint16(2)
+        seen = counts[1][:, 0] + counts[1][:, 1]
+        for least in _LEVELS:
+            steps += seen >= least
+        return cls(low.astype(np.float16), steps)
 
     def inputs(self, b: Bits) -> tuple[np.ndarray, np.ndarray]:
         """Log odds by predictor, and the gate, of every bit."""
@@ -390,11 +399,22 @@ class Mixer:
         """What step() reads of some bits: by gate the slope and the curvature of the coding cost, and the refining counts. Each bit
         adds whole numbers, so sums are the same in any order."""
         mixed = self.mixed(odds, gate)
-        p = np.take(_LOGISTIC, np.rint((mixed + 12) * ((FINE - 1) / 24)).astype(np.int32))
+        p = np.take(_LOGISTIC, np.rint((mixed + 12) * ((FINE - 1) / 24)).astype(np.intp))
         error, bend = bit - p, p * (1 - p)
-        whole = lambda x: np.bincount(gate, weights=np.rint(x * np.float32(_GRAIN)), minlength=GATES)
+        cell = gate * STEPS + np.rint((mixed + 12) * ((STEPS - 1) / 24)).astype(np.intp)
+        small = gate.astype(np.uint8)
+        order = np.argsort(small, kind="stable")
+        edges = np.searchsorted(small[order], np.arange(GATES + 1))
+        here = np.flatnonzero(np.diff(edges))
+        odds, error, bend = np.take(odds, order, axis=1), error[order], bend[order]
+
+        def whole(x: np.ndarray) -> np.ndarray:
+            out = np.zeros(GATES)
+            x *= np.float32(_GRAIN)
+            out[here] = np.add.reduceat(np.rint(x, out=x), edges[here], dtype=np.float64) if len(here) else 0
+            return out
+
         parts = [whole(error * x) for x in odds] + [whole(bend * odds[i] * odds[j]) for i, j in _PAIRS]
-        cell = gate * STEPS + np.rint((mixed + 12) * ((STEPS - 1) / 24)).astype(np.int32)
         return np.concatenate([*parts, np.bincount(cell * 2 + bit, minlength=GATES * STEPS * 2)]).astype(np.int64)
 
     def step(self, sums: np.ndarray) -> None:
@@ -541,6 +561,20 @@ def _unplaned(packed: bytes, n: int) -> np.ndarray:
     return sum(p.astype(np.int64) << (8 * k) for k, p in enumerate(planes))
 
 
+def packed(counts: list[np.ndarray]) -> list[bytes]:
+    """Each table's counts by (slot, bit) as blocks that travel."""
+    return [_planes(x.astype(np.int64)) for c in counts for x in c.reshape(-1, WIDTH)]
+
+
+def unpacked(blocks: list[bytes]) -> list[np.ndarray]:
+    """What packed() made blocks of, in memory of its own: an array that comes pickled lies in pages so small that reading it at random takes
+    several times as long."""
+    flat = np.empty(len(blocks) * WIDTH, np.float32)
+    for k, block in enumerate(blocks):
+        flat[k * WIDTH : (k + 1) * WIDTH] = _unplaned(block, WIDTH)
+    return [x.reshape(-1, 2) for x in np.split(flat, _EDGES)]
+
+
 def context_counts(sent: DataFrame, tasks: int) -> list[np.ndarray]:
     """Each table's counts by (slot, bit): blocks of TOGETHER tasks at a time are summed as they arrive, then those sums."""
 
@@ -561,10 +595,10 @@ def context_counts(sent: DataFrame, tasks: int) -> list[np.ndarray]:
     if tasks > TOGETHER:
         parts = dealt(parts, -(-tasks // TOGETHER) * n).mapInArrow(add, "bucket long, a binary")
     parts = dealt(parts.withColumn("bucket", F.col("bucket") % n), n).mapInArrow(add, "bucket long, a binary")
-    flat = np.zeros(n * WIDTH, np.float32)
+    blocks = [_planes(np.zeros(WIDTH, np.int64))] * n
     for row in parts.collect():  # so many slots, whatever the corpus: one row a block
-        flat[row.bucket * WIDTH : (row.bucket + 1) * WIDTH] = _unplaned(row.a, WIDTH)
-    return [x.reshape(-1, 2) for x in np.split(flat, _EDGES)]
+        blocks[row.bucket] = row.a
+    return unpacked(blocks)
 
 
 def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -601,6 +635,7 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     hot, hot_span = joined(_ANCHORS, "a", np.uint64), joined(_ANCHORS, "b", np.uint32).reshape(-1, SPAN)
     order = np.argsort(hot)
     common = context.broadcast((words, hot[order], hot_span[order]))
+    sweep(spark)
 
     def hot_of(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known = common.value[1]
@@ -667,7 +702,9 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     answers = dealt(dealt(both, buckets).mapInArrow(answer, _PACKED), buckets).mapInArrow(regroup, "key long, places binary, spans binary")
     answers = settle(answers, "lm-matches")
     discard(sent)
-    asked = rows.join(answers, "key", "left")
+    del both
+    sweep(spark)
+    asked = shared(rows.join(answers, "key", "left"))  # texts travel here, once for all that read them
 
     def read_bits(batch: pa.RecordBatch) -> tuple[Tokens, Bits]:
         t = tokens(batch.column("text"))
@@ -693,17 +730,16 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     del without
     for b in own:
         learner.learn(*learner.inputs(b), b.bits)
-    start, all_counts = learner.weights, context.broadcast(counts)
+    start, all_counts = learner.weights, context.broadcast(packed(counts))
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, tables = None, None
         for batch in in_bytes(batches, most=1 << 17):
-            tables = all_counts.value if tables is None else tables
+            tables = unpacked(all_counts.value) if tables is None else tables
             b = read_bits(batch)[1]
             alone = Mixer.of(without_own(tables, b))
             alone.weights = start
-            here = np.arange(len(b.bits))
-            part = alone.surveyed(*alone.inputs(b._replace(slots=[here] * TABLES)), b.bits)
+            part = alone.surveyed(*alone.inputs(b._replace(slots=[slice(None)] * TABLES)), b.bits)  # a row of counts a bit
             sums = part if sums is None else sums + part
         if sums is not None:
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
@@ -715,16 +751,17 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     learning = asked.where("learn").select("text", "places", "spans").mapInArrow(survey, "sums binary").repartition(TOGETHER).mapInArrow(together, "sums binary")
     mixer = Mixer.of(counts)
+    del counts
     mixer.weights = start
     parts = [np.frombuffer(r.sums, np.int64) for r in learning.collect()]  # at most TOGETHER rows of fixed size
     if parts:
         mixer.step(sum(parts))
     all_counts.destroy()
-    shared = context.broadcast(mixer.settle())
+    mixing = context.broadcast(mixer.settle())
     log_of = lambda c: np.log10((c + 0.5) / (n_all + 0.5 * (n_kinds + 1)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, words = shared.value, common.value[0]
+        mixer, words = mixing.value, common.value[0]
         for batch in in_bytes(batches, most=1 << 17):
             t, b = read_bits(batch)
             logs = mixer.costs(*mixer.inputs(b), b.bits)
@@ -750,6 +787,8 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     made = asked.select("doc_id", "held_out", "text", "places", "spans").mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, known long, logs double, score double, bits_per_byte double, asked binary")
     scored = settle(made.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     discard(answers)
+    del asked, learning, made
+    sweep(spark)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches, "asked", most=4 << 20):

@@ -603,3 +603,27 @@ def test_ngram_join_searches_large_families_without_the_sets_of_others(spark, mo
     rows += [(100 + 2 * i + k, " ".join(f"z{i}w{j}" for j in range(60 + k)), None, None, None) for i in range(20) for k in (0, 1)]
     got = key(ngram_join.op6(frame(spark, rows)).collect(), "doc_id", "n_shingles", "component_id")
     assert got == linked(rows) and seen[-1][1] < seen[-1][0] / 2 and len(seen) == 2
+
+
+def test_mixer_shuffles_texts_once(spark, tmp_path):
+    """Learning and scoring read the same shuffled texts. The texts are blanks only, so nothing else that is shuffled is large."""
+    rng = np.random.default_rng(5)
+    rows = [(i, "".join(rng.choice(list(" \t\n\r\x0b\x0c"), 40000)), None, None, None) for i in range(100)]
+    frame(spark, rows).write.parquet(str(tmp_path / "docs"))
+    docs, store = spark.read.parquet(str(tmp_path / "docs")), spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled(df):
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        before = store.executorList(False).apply(0).totalShuffleWrite()
+        n = len(df().collect())
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return n, store.executorList(False).apply(0).totalShuffleWrite() - before
+
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")  # else what meets the texts is so small that they need not travel
+    try:
+        once, got = shuffled(lambda: docs.select("doc_id", "text").repartition(3)), shuffled(lambda: context_mixing.op10(docs, sample=3))
+    finally:
+        spark.conf.set(limit, before)
+    assert got[0] == once[0] == 100 and 0.9 < got[1] / once[1] < 1.5
