@@ -105,6 +105,36 @@ def _short(hashes: np.ndarray) -> np.ndarray:
     return hashes.astype(np.uint32) | np.uint32(1)
 
 
+class Sorted(NamedTuple):
+    """Sorted hashes, and where those with each value of their leading bits begin: so the place of one is found in a step or two."""
+
+    hashes: np.ndarray
+    begin: np.ndarray
+    shift: int
+
+    @classmethod
+    def of(cls, hashes: np.ndarray) -> Sorted:
+        width = hashes.dtype.itemsize * 8
+        bits = max(1, len(hashes).bit_length())
+        heads = np.arange(1 << bits, dtype=hashes.dtype) << hashes.dtype.type(width - bits)
+        return cls(hashes, np.searchsorted(hashes, heads).astype(np.int32), width - bits)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each hash, its first place and whether it is there; a place within bounds if it is not."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        last = len(self.hashes) - 1
+        at = np.minimum(np.take(self.begin, hashes >> hashes.dtype.type(self.shift)), last).astype(np.int64)
+        there = np.take(self.hashes, at)
+        rest = np.flatnonzero(there < hashes)
+        while len(rest):
+            on = np.minimum(at[rest] + 1, last)
+            moved = on > at[rest]
+            at[rest], there[rest] = on, self.hashes[on]
+            rest = rest[moved & (there[rest] < hashes[rest])]
+        return at, there == hashes
+
+
 class Words(NamedTuple):
     """The frequent words: sorted hashes, each one's count and rank; of each rank, then of the end mark and the escape, length and code;
     and the hashes cut to 32 bits, sorted, with the ranks of those."""
@@ -114,8 +144,9 @@ class Words(NamedTuple):
     ranks: np.ndarray
     lengths: np.ndarray
     codes: np.ndarray
-    small: np.ndarray
+    small: Sorted
     small_ranks: np.ndarray
+    sorted: Sorted
 
     @classmethod
     def of(cls, hashes: np.ndarray, counts: np.ndarray, others: int, floor: float) -> Words:
@@ -128,14 +159,11 @@ class Words(NamedTuple):
         rank = np.where(plain, np.cumsum(plain) - 1, plain.sum())
         by_hash, small = np.argsort(hashes), _short(hashes)
         by_small = np.argsort(small, kind="stable")
-        return cls(hashes[by_hash], counts[by_hash], rank[by_hash], lengths, codes, small[by_small], rank[by_small])
+        return cls(hashes[by_hash], counts[by_hash], rank[by_hash], lengths, codes, Sorted.of(small[by_small]), rank[by_small], Sorted.of(hashes[by_hash]))
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each hash, where it is and whether it is there."""
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return at, self.hashes[at] == hashes
+        return self.sorted.find(hashes)
 
 
 class Tokens(NamedTuple):
@@ -220,23 +248,18 @@ def bits(t: Tokens, words: Words, guess: np.ndarray | None = None) -> Bits:
     before = np.concatenate([[np.uint64(0)], t.hashes[:-1]])
     before[t.offsets[:-1]] = 0
     length, code = words.lengths[symbol], words.codes[symbol]
-    held, valid, expected = np.zeros(len(symbol), np.int64), np.zeros(len(symbol), np.int64), np.zeros(len(symbol), np.uint32)
+    held, valid, told_size, expected = (np.zeros(len(symbol), kind) for kind in (np.int64, np.int64, np.int64, np.uint32))
     if guess is not None and guess.any():
-        small, ranks = words.small, np.append(words.small_ranks, n_words + 1)
-        where = np.searchsorted(small, guess)
-        there = small[np.minimum(where, len(small) - 1)] == guess if len(small) else np.zeros(len(guess), bool)
-        told = ranks[np.where(there, where, len(small))]
+        asked = np.flatnonzero(guess)
+        where, there = words.small.find(guess[asked])
+        told = np.where(there, words.small_ranks[where] if len(words.small_ranks) else 0, n_words + 1)
         told_length, told_code = words.lengths[told], words.codes[told]
-        apart = (code.astype(np.int64) << (31 - length)) ^ (told_code.astype(np.int64) << (31 - told_length))
+        apart = (code[asked].astype(np.int64) << (31 - length[asked])) ^ (told_code.astype(np.int64) << (31 - told_length))
         common = 31 - np.frexp(apart.astype(np.float64))[1]
-        valid = np.where(guess != 0, np.minimum(common + 1, np.minimum(length, told_length)), 0)
-        expected = told_code
+        valid[asked] = np.minimum(common + 1, np.minimum(length[asked], told_length))
+        expected[asked], told_size[asked] = told_code, told_length
         right = (guess != 0) & (guess == _short(t.hashes))
-        streak = _streak(right, t.offsets)
-        held = np.where(guess != 0, 1 + np.digitize(streak, (1, 4, 16)), 0)
-        told_size = told_length
-    else:
-        told_size = length
+        held[asked] = 1 + np.digitize(_streak(right, t.offsets)[asked], (1, 4, 16))
     low, high = np.zeros(len(symbol), np.uint32), _hash32(before, before >> np.uint64(32))
 
     spelled = np.flatnonzero(~known[: len(t.hashes)])
@@ -258,7 +281,7 @@ def bits(t: Tokens, words: Words, guess: np.ndarray | None = None) -> Bits:
     low = np.concatenate([low, _hash32(one, two + np.uint32(1 << 9))])
     high = np.concatenate([high, _hash32(one, two, three, four + np.uint32(1 << 10))])
     pad = np.zeros(m, np.int64)
-    held, valid, expected, told_size = np.concatenate([held, pad]), np.concatenate([valid, pad]), np.concatenate([expected, pad.astype(np.uint32)]), np.concatenate([told_size, pad + 1])
+    held, valid, expected, told_size = np.concatenate([held, pad]), np.concatenate([valid, pad]), np.concatenate([expected, pad.astype(np.uint32)]), np.concatenate([told_size, pad])
 
     end = np.cumsum(length)
     first = end - length
@@ -283,8 +306,10 @@ def bits(t: Tokens, words: Words, guess: np.ndarray | None = None) -> Bits:
     gate[plain:] = HELD * SEEN
     told = np.flatnonzero(valid)
     if len(told):
-        where, n = ragged(first[told], valid[told]), valid[told]
-        down = (np.repeat(told_size[told], n) - 1 - ragged(np.zeros(len(told), np.int64), n)).astype(np.uint32)
+        n = valid[told]
+        place = ragged(np.zeros(len(told), np.int64), n)
+        where = np.repeat(first[told], n) + place
+        down = (np.repeat(told_size[told] - 1, n) - place).astype(np.uint32)
         say[where] = ((np.repeat(expected[told], n) >> down) & np.uint32(1)).astype(np.int8) * 2 - 1
         gate[where] += np.repeat((held[told] * SEEN).astype(np.uint8), n)
     return Bits(slots, bit, gate, say, first, doc, at, known)
@@ -749,7 +774,7 @@ def op10(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array([sum(parts).tobytes()], pa.binary())], names=["sums"])
 
-    learning = asked.where("learn").select("text", "places", "spans").mapInArrow(survey, "sums binary").repartition(TOGETHER).mapInArrow(together, "sums binary")
+    learning = asked.where("learn").select("text", "places", "spans").mapInArrow(survey, "sums binary").repartition(min(TOGETHER, -(-asked.rdd.getNumPartitions() // TOGETHER) or 1)).mapInArrow(together, "sums binary")
     mixer = Mixer.of(counts)
     del counts
     mixer.weights = start

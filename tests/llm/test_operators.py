@@ -627,3 +627,21 @@ def test_mixer_shuffles_texts_once(spark, tmp_path):
     finally:
         spark.conf.set(limit, before)
     assert got[0] == once[0] == 100 and 0.9 < got[1] / once[1] < 1.5
+
+
+def test_sorted_hashes_are_found_at_their_first_place():
+    rng = np.random.default_rng(7)
+    for kind in (np.uint32, np.uint64):
+        for n in (0, 1, 2, 1000):
+            known = np.sort(rng.integers(0, np.iinfo(kind).max, n, dtype=kind, endpoint=True) >> kind(rng.integers(0, 20)))
+            known[n // 2 :][:3] = known[n // 2 : n // 2 + 1]
+            asked = np.concatenate([known, known + kind(1), np.array([0, np.iinfo(kind).max], kind), rng.integers(0, np.iinfo(kind).max, 50, dtype=kind)])
+            at, there = context_mixing.Sorted.of(np.sort(known)).find(asked)
+            assert (there == np.isin(asked, known)).all() and (at[there] == np.searchsorted(np.sort(known), asked)[there]).all()
+
+
+def test_counts_travel_whole():
+    counts = [np.zeros((1 << n, 2), np.float32) for n in context_mixing.BITS]
+    counts[0][5], counts[1][-1] = (255, 70000), (1, 1 << 25)
+    got = context_mixing.unpacked(context_mixing.packed(counts))
+    assert all((x == y).all() and x.shape == y.shape for x, y in zip(got, counts, strict=True))
