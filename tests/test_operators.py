@@ -137,3 +137,13 @@ def test_first_of_a_url_is_that_of_the_first_file(spark, tmp_path):
     (tmp_path / "a.xml").write_text(f"<rss><channel>{item('first', 'a')}</channel></rss>")
     (tmp_path / "b.xml").write_text(f"<rss><channel>{item('second', 'b' * 20000)}{item('third', 'c')}</channel></rss>")
     assert [r.title for r in feeds.rss(spark, str(tmp_path), "s", "news").collect()] == ["first"]
+
+
+def test_xml_feed_scan_keeps_the_least_page_of_a_url(spark, tmp_path):
+    """Whatever documents its pages were landed in: 2 comes before 10, and below zero before both."""
+    rows = [(n, f"http://x/{n % 500}") for n in (1001, 5001, 1002, 5002, -499, 10001, 7003)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    want = {}
+    for n, url in sorted(rows):
+        want.setdefault(url, n)
+    assert {r.url: r.page_id for r in slate.QUERIES["xml_feed_scan"](spark, str(tmp_path)).collect()} == want
