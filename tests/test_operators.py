@@ -147,3 +147,20 @@ def test_xml_feed_scan_keeps_the_least_page_of_a_url(spark, tmp_path):
     for n, url in sorted(rows):
         want.setdefault(url, n)
     assert {r.url: r.page_id for r in slate.QUERIES["xml_feed_scan"](spark, str(tmp_path)).collect()} == want
+
+
+@pytest.mark.parametrize("name", ["dedup_survivors"])
+def test_near_copies_stay_in_the_report(spark, tmp_path, name):
+    """The report's SQL has every row, those of near copies (0.95 or more) too."""
+    import duckdb
+
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.normal(size=(6, 8)), np.repeat(rng.normal(size=(1, 8)), 4, axis=0) + rng.normal(size=(4, 8)) / 100])
+    spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    spark.createDataFrame([(i, i % 8) for i in range(12)], "doc_id long, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    for t in ("embeddings", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.execute(slate.ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    assert sorted(tuple(r) for r in slate.QUERIES[name](spark, str(tmp_path)).select(columns).collect()) == sorted(want.fetchall())
