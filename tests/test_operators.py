@@ -149,7 +149,7 @@ def test_xml_feed_scan_keeps_the_least_page_of_a_url(spark, tmp_path):
     assert {r.url: r.page_id for r in slate.QUERIES["xml_feed_scan"](spark, str(tmp_path)).collect()} == want
 
 
-@pytest.mark.parametrize("name", ["dedup_survivors"])
+@pytest.mark.parametrize("name", ["dedup_survivors", "duplicate_urls"])
 def test_near_copies_stay_in_the_report(spark, tmp_path, name):
     """The report's SQL has every row, those of near copies (0.95 or more) too."""
     import duckdb
