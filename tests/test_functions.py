@@ -38,3 +38,13 @@ def test_category(spark):
 def test_first_filled(spark):
     row = spark.createDataFrame([("", None, "c")], "a string, b string, c string").select(T.first_filled(F.col("a"), F.col("b"), F.col("c")).alias("x"), T.first_filled(F.col("a"), F.col("b")).alias("y")).first()
     assert (row.x, row.y) == ("c", "")
+
+
+def test_strip_looks_at_the_ends_only(spark):
+    """Every white space, and no pattern, which would try every place of a text."""
+    from siltstone.functions import text
+
+    spaces = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       　"
+    rows = spark.createDataFrame([(spaces + "a" + spaces + "​b" + spaces,), (spaces,), (None,)], "x string")
+    assert [r.y for r in rows.select(text.strip(F.col("x")).alias("y")).collect()] == ["a" + spaces + "​b", "", None]
+    assert "regexp" not in rows.select(text.strip(F.col("x")).alias("y"))._jdf.queryExecution().analyzed().toString()
