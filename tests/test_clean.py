@@ -52,3 +52,12 @@ def test_body(spark):
 def test_end_markers(spark):
     at = lambda x: clean.end_at(F.split(x, "\n"))
     assert flags(spark, at, "a\n" + "x" * 100 + "上一則", "a\n" + "x" * 75 + "相關新聞", "a\n" + "x" * 76 + "相關新聞") == [2, 2, 0]
+
+
+def test_gate_counts_letters_of_the_beginning_first(spark):
+    """Enough letters in the beginning settle it; else all count, also those past it."""
+    late = "." * 2000
+    rows = spark.createDataFrame([(0, "a" * 20 + late), (1, late + "a" * 20), (2, late + "a" * 19), (3, "a" + late + "b" * 18)], "i int, c string")
+    got = rows.select("i", clean.quality_reason(F.col("c"), clean.LATIN).alias("r"))
+    assert [r.r.split(" (")[0] for r in got.orderBy("i").collect()] == ["Too few paragraphs", "Too few paragraphs", "Insufficient Latin", "Insufficient Latin"]
+    assert "substring" in got._jdf.queryExecution().analyzed().toString()
