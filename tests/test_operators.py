@@ -149,6 +149,29 @@ def test_xml_feed_scan_keeps_the_least_page_of_a_url(spark, tmp_path):
     assert {r.url: r.page_id for r in slate.QUERIES["xml_feed_scan"](spark, str(tmp_path)).collect()} == want
 
 
+@pytest.mark.parametrize("block", [None, 3])
+def test_links_say_what_pairs_say(spark, block):
+    """Components and greatest similarities from links equal those from all pairs; links have a row an id and pair of blocks at most."""
+    rng = np.random.default_rng(2)
+    v = np.concatenate([rng.normal(size=(30, 4)), np.repeat(rng.normal(size=(1, 4)), 40, axis=0) + rng.normal(size=(40, 4)) / 1000])
+    rows = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(rng.permutation(70), v, strict=True)] + [(99, None)], "id long, v array<float>").repartition(3)
+    pairs, links = dedup.cosine_pairs(rows, "id", "v", 0.9, block), dedup.cosine_links(rows, "id", "v", 0.9, block)
+    assert links.count() < (71 if block is None else 40 * 24)
+    assert pairs.count() > 40 * 39 // 2
+    got = [{tuple(r) for r in f.collect()} for f in (dedup.components(rows.select("id"), dedup.edges(links)), dedup.components(rows.select("id"), pairs))]
+    assert got[0] == got[1] and len({c for _, c in got[0]}) > 2
+    best = [{r.id: round(r.max_sim, 9) for r in dedup.max_similarity(rows.select("id"), f).collect()} for f in (links, pairs)]
+    assert best[0] == best[1] and best[0][99] == 0
+
+
+def test_vectors_are_sent_in_few_pieces(spark):
+    """A block holds as many rows as fit its bytes, so vectors are sent as often as there are blocks, not once for each 2,048 rows."""
+    rows = spark.range(60_000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v"))
+    packed, blocks = dedup._packed(rows, "id", "v", None)
+    assert blocks < 12 and packed.count() < 12 * 60
+    assert dedup._packed(rows, "id", "v", 2048)[1] == 30
+
+
 @pytest.mark.parametrize("name", ["dedup_survivors", "duplicate_urls"])
 def test_near_copies_stay_in_the_report(spark, tmp_path, name):
     """The report's SQL has every row, those of near copies (0.95 or more) too."""
