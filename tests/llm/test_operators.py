@@ -645,3 +645,17 @@ def test_counts_travel_whole():
     counts[0][5], counts[1][-1] = (255, 70000), (1, 1 << 25)
     got = context_mixing.unpacked(context_mixing.packed(counts))
     assert all((x == y).all() and x.shape == y.shape for x, y in zip(got, counts, strict=True))
+
+
+def test_anchors_of_all_documents_go_before_texts_are_shuffled(spark, monkeypatch):
+    """Shuffles of the first step are let go of before the second begins, so disk holds one step's at a time."""
+    from siltstone.llm import substring_dedup
+
+    done = []
+    for name in ("sweep", "segments", "discard"):
+        monkeypatch.setattr(substring_dedup, name, lambda *a, f=getattr(substring_dedup, name), name=name: (done.append(name), f(*a))[1])
+    line = " ".join(f"w{i}" for i in range(20))
+    rows = spark.createDataFrame([(1, line), (2, "x " + line), (3, "other")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup.op3(rows).collect()}
+    assert got == {1: 0, 2: 20, 3: 0}
+    assert done == ["sweep", "segments", "discard", "sweep"]
